@@ -22,8 +22,9 @@ FIRST_SIGNUP = "2023-12-25"
 
 
 def _pick(values: list[str], number: Column) -> Column:
-    index = (number % len(values) + 1).cast("int")
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index)
+    index = (number % len(values)).cast("int")
+    # An explicit null: indexing a constant array by null yields its last element.
+    return F.when(index.isNotNull(), F.get(F.array(*[F.lit(v) for v in values]), index))
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
