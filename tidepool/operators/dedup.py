@@ -5,13 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
+from .skew import broadcast_limit
 
-def keep_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The first row of each key by ``order``, nulls last.
+# Memory a broadcast hash set takes per 8-byte key, rounded up.
+BYTES_PER_HASH = 24
+
+
+def repeated_keys(df: DataFrame, key: str) -> DataFrame | None:
+    """Hashes of the keys that occur more than once, or None when they are too many to broadcast.
+
+    Counting 8-byte hashes is a narrow shuffle folded map-side. Two keys may share a hash;
+    that only adds keys to look at more closely.
+    """
+    hashes = (
+        df.where(F.col(key).isNotNull())
+        .groupBy(F.xxhash64(key).alias("_hash"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+    )
+    repeated = written(hashes.where("_rows > 1").select("_hash"))
+    fits = repeated.count() * BYTES_PER_HASH <= broadcast_limit(df)
+    return repeated if fits else None
+
+
+def keep_first(
+    df: DataFrame, key: str, order: list[str], repeated: DataFrame | None = None
+) -> DataFrame:
+    """The first row of each non-null key by ``order``, nulls last.
 
     ``row_number() = 1`` is planned with a WindowGroupLimit before the shuffle, so each
     map task sends at most one row per key: a key holding a third of all rows shrinks
     to one row per task before it reaches a reducer.
+
+    With ``repeated`` (see ``repeated_keys``) only rows of keys that may occur more than
+    once are shuffled and sorted; the others pass straight through.
     """
+    df = df.where(F.col(key).isNotNull())
+    if repeated is None:
+        return _first_rows(df, key, order)
+    hashed = df.withColumn("_hash", F.xxhash64(key))
+    suspects = F.broadcast(repeated)
+    single = hashed.join(suspects, "_hash", "left_anti")
+    several = _first_rows(hashed.join(suspects, "_hash", "left_semi"), key, order)
+    return single.unionByName(several).drop("_hash")
+
+
+def _first_rows(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     first = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     return df.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")

@@ -6,29 +6,50 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A key is hot when it holds more than this share of the rows. At most 1 / HOT_SHARE keys
-# can, so the list of hot keys has a fixed bound however large the data is.
-HOT_SHARE = 0.001
+# can, so the list of hot keys has a fixed bound however large the data is. Adaptive
+# execution splits the partitions of the less frequent keys below it.
+HOT_SHARE = 0.002
+# Sketches are merged in two steps: per group of tasks, then the groups.
+MERGE_GROUPS = 512
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    """The session's ``spark.sql.autoBroadcastJoinThreshold`` in bytes; -1 when switched off."""
+    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
 def fits_broadcast(df: DataFrame) -> bool:
     """True when Spark's own size estimate lets it broadcast ``df`` without being told to."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
+    return int(str(size)) <= broadcast_limit(df)
 
 
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """The keys above HOT_SHARE, from a one-pass sketch merged map-side: at most 1,000 rows.
+    """The keys above HOT_SHARE, from one pass over the key column: at most 500 rows.
 
-    The counts are estimates. They only decide which rows get spread, never a result.
+    Each task keeps a sketch of the frequent keys, of fixed size. The counts are
+    estimates. They only decide which rows get spread, never a result.
     """
     top = int(1 / HOT_SHARE)
-    sketch = df.select(key).where(F.col(key).isNotNull()).agg(
-        F.expr(f"approx_top_k({key}, {top}, {10 * top})").alias("top"),
-        F.count(F.lit(1)).alias("rows"),
+    tracked = 8 * top
+    group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
+    sketches = (
+        df.select(F.col(key), group.alias("_group"))
+        .where(F.col(key).isNotNull())
+        .groupBy("_group")
+        .agg(
+            F.expr(f"approx_top_k_accumulate({key}, {tracked})").alias("sketch"),
+            F.count(F.lit(1)).alias("rows"),
+        )
+    )
+    # Grouped by a constant: without any key there is no group, where a global aggregate
+    # would have to combine no sketches at all, which fails.
+    merged = sketches.groupBy(F.lit("all").alias("_all")).agg(
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {top})").alias("top"),
+        F.sum("rows").alias("rows"),
     )
     return (
-        sketch.select(F.explode("top").alias("t"), "rows")
+        merged.select(F.explode("top").alias("t"), "rows")
         .where(F.col("t.count") * top > F.col("rows"))
         .select(F.col("t.item").alias(key))
         .limit(top)

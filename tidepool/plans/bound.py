@@ -1,32 +1,17 @@
-"""Shared scratch space, and a warehouse built there table by table on first use."""
+"""A warehouse built in the scratch space, table by table on first use."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.activity import user_activity
+from ..operators.dedup import repeated_keys
 from ..sources import binding, seeds
+from ..sources.scratch import application_dir
 from ..sources.warehouse import Warehouse, fact_date_bounds
 from . import etl
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder, which all executors share.
-
-    Only a local session may fall back to a folder of its own machine.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="tidepool-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
-    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-
-
 class BoundWarehouse:
     """The warehouse of one set of source tables.
 
@@ -43,7 +28,7 @@ class BoundWarehouse:
         self.warehouse = Warehouse(spark, root)
         self._builders = {
             "dim_users": self._users,
-            "fct_events": self._fact,
+            "fct_events": self.new_facts,
             "user_activity": self._activity,
             "agg_daily_metrics": self._daily,
             "agg_user_engagement": self._engagement,
@@ -58,17 +43,18 @@ class BoundWarehouse:
             self.warehouse.replace(table, self._builders[table]())
         return self.warehouse.read(table)
 
-    def raw_events(self) -> DataFrame:
-        return binding.raw_events(self.spark, self.sf_dir)
+    def clean_events(self) -> DataFrame:
+        raw = binding.raw_events(self.spark, self.sf_dir)
+        repeated = repeated_keys(binding.event_ids(self.spark, self.sf_dir), "event_id")
+        return etl.clean_events(raw, self.as_of, repeated)
+
+    def new_facts(self) -> DataFrame:
+        users = binding.event_users(self.spark, self.sf_dir)
+        return etl.build_fact_events(self.clean_events(), self["dim_users"], hot_from=users)
 
     def _users(self) -> DataFrame:
         return etl.build_user_dimension(binding.raw_users(self.spark, self.sf_dir))
 
-    def _fact(self) -> DataFrame:
-        clean = etl.clean_events(self.raw_events(), self.as_of)
-        users = binding.event_users(self.spark, self.sf_dir)
-        return etl.build_fact_events(clean, self["dim_users"], hot_from=users)
-
     def _activity(self) -> DataFrame:
         return user_activity(self["fct_events"], self["dim_event_type"])
 
@@ -103,11 +89,9 @@ def bound_warehouse(
     spark: SparkSession, sf_dir: str, as_of: str, report_date: str
 ) -> BoundWarehouse:
     """The warehouse for ``sf_dir``, shared by all queries of the application."""
-    base = scratch_dir(spark)
-    application = spark.sparkContext.applicationId
-    stamp = _stamp(Warehouse(spark, base), sf_dir)
-    key = (application, base, sf_dir, as_of, report_date, stamp)
+    base = application_dir(spark)
+    key = (base, sf_dir, as_of, report_date, _stamp(Warehouse(spark, base), sf_dir))
     if key not in _bound:
-        root = f"{base}/tidepool-{application}/{len(_bound):03d}"
+        root = f"{base}/warehouse-{len(_bound):03d}"
         _bound[key] = BoundWarehouse(spark, sf_dir, root, as_of, report_date)
     return _bound[key]

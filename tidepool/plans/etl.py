@@ -27,10 +27,10 @@ FIRST_BY = [
 ]
 
 
-def _first_events(events: DataFrame) -> DataFrame:
+def _first_events(events: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """Typed events, one row per event id."""
     typed = events.withColumn("event_timestamp", F.col("event_timestamp").try_cast("timestamp_ntz"))
-    return keep_first(typed.where("event_id IS NOT NULL"), "event_id", FIRST_BY)
+    return keep_first(typed, "event_id", FIRST_BY, repeated)
 
 
 def _defects(as_of: dt.datetime | str | None) -> dict[str, Column]:
@@ -43,13 +43,18 @@ def _defects(as_of: dt.datetime | str | None) -> dict[str, Column]:
     }
 
 
-def clean_events(events: DataFrame, as_of: dt.datetime | str | None = None) -> DataFrame:
+def clean_events(
+    events: DataFrame,
+    as_of: dt.datetime | str | None = None,
+    repeated: DataFrame | None = None,
+) -> DataFrame:
     """De-duplicate, then drop events with null keys, bad times, unknown types or future times.
 
     The order matters: an event whose first row is defective is lost even when a later
-    copy is sound. ``as_of`` defaults to the current time in UTC.
+    copy is sound. ``as_of`` defaults to the current time in UTC. ``repeated`` spares the
+    events without a copy the shuffle (see ``operators.dedup.repeated_keys``).
     """
-    kept = _first_events(events)
+    kept = _first_events(events, repeated)
     for defect in _defects(as_of).values():
         kept = kept.where(~defect)
     return kept
@@ -178,16 +183,24 @@ def daily_metrics(
             spread="session_id",
         ).select(*grain, "session_id").distinct()
     counted = ["content_creates", "likes", "comments", "shares", "messages_sent", "ad_impressions", "ad_clicks"]
-    by_user = (
-        activity.join(signups, "user_key", "left" if etl_form else "inner")
-        .groupBy(*grain)
-        .agg(
-            F.count("user_key").alias("dau"),
-            count_where(F.col("signup_date") == F.col("date_key")).alias("new_users"),
-            F.sum("events").alias("total_events"),
-            *[F.sum(c).alias(c) for c in counted],
+    sums = [F.sum("events").alias("total_events"), *[F.sum(c).alias(c) for c in counted]]
+    if etl_form:
+        # Only the signup days need the users: a join of three narrow columns.
+        by_user = activity.groupBy(*grain).agg(F.count("user_key").alias("dau"), *sums)
+        new = (
+            activity.select(*grain, "user_key")
+            .join(signups.withColumnRenamed("signup_date", "date_key"), ["user_key", "date_key"])
+            .groupBy(*grain)
+            .agg(F.count(F.lit(1)).alias("new_users"))
+        )
+        by_user = by_user.unionByName(new, allowMissingColumns=True)
+    else:
+        signup_day = F.col("signup_date") == F.col("date_key")
+        by_user = (
+            activity.join(signups, "user_key")
+            .groupBy(*grain)
+            .agg(F.count("user_key").alias("dau"), *sums, count_where(signup_day).alias("new_users"))
         )
-    )
     by_session = sessions.groupBy(*grain).agg(F.count(F.lit(1)).alias("total_sessions"))
     # A union folded once more lines both up, including rows without a platform.
     both = by_user.unionByName(by_session, allowMissingColumns=True)

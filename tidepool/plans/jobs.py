@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import DateLike, day
 from ..operators.activity import user_activity
+from ..operators.dedup import repeated_keys
 from ..schemas import TABLES
 from ..sources import raw as raw_source
 from ..sources import seeds
@@ -36,10 +37,11 @@ def _load_facts(
 ) -> dict[str, int]:
     """Clean, resolve and write events in one job; returns the row counts on the way."""
     counts: dict[str, Observation] = {}
-    clean = _counted(etl.clean_events(_counted(events, counts, "events"), as_of), counts, "clean_events")
+    repeated = repeated_keys(events, "event_id")
+    clean = _counted(etl.clean_events(events, as_of, repeated), counts, "clean_events")
     fact = etl.build_fact_events(clean, users, hot_from=events)
     write(_counted(fact, counts, "fact_events"))
-    rows = _rows(counts)
+    rows = {"events": events.count(), **_rows(counts)}
     rows["unknown_user_events"] = rows["clean_events"] - rows["fact_events"]
     return rows
 
@@ -145,7 +147,7 @@ def _load_day(
 ) -> dict[str, int]:
     events = raw_source.extract_events_for_date(warehouse.spark, raw_dir, date)
     users = warehouse.read("dim_users")
-    clean = etl.clean_events(events, as_of)
+    clean = etl.clean_events(events, as_of, repeated_keys(events, "event_id"))
     # Read twice below: for the day itself and for events that belong to other days.
     fact = etl.build_fact_events(clean, users, hot_from=events).persist()
     warehouse.load_facts(fact, date)
