@@ -148,12 +148,13 @@ def build_fact_events(
     )
 
 
-def unknown_user_events(events: DataFrame, users: DataFrame) -> DataFrame:
+def unknown_user_events(
+    events: DataFrame, users: DataFrame, hot_from: DataFrame | None = None
+) -> DataFrame:
     """Number of clean events whose user is not in the dimension, one row."""
     known = users.where("is_current").select("user_id")
-    return lookup(events, known, "user_id", "left_anti", spread="event_id").agg(
-        F.count(F.lit(1)).alias("unknown_user_events")
-    )
+    unknown = lookup(events, known, "user_id", "left_anti", spread="event_id", hot_from=hot_from)
+    return unknown.agg(F.count(F.lit(1)).alias("unknown_user_events"))
 
 
 def daily_metrics(

@@ -39,12 +39,21 @@ EVENT_TYPES = [
 EVENT_TYPE_KEYS = [row[0] for row in EVENT_TYPES]
 
 
+def _constant(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """Rows as an inline table, whose size Catalyst knows exactly and so may broadcast."""
+    values = ", ".join(
+        "(" + ", ".join(str(v) if isinstance(v, bool) else f"'{v}'" for v in row) + ")" for row in rows
+    )
+    names = ", ".join(name for name, _ in columns(ddl))
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
+
+
 def dim_platform(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PLATFORMS, TABLES["dim_platform"])
+    return _constant(spark, PLATFORMS, TABLES["dim_platform"])
 
 
 def dim_event_type(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(EVENT_TYPES, TABLES["dim_event_type"])
+    return _constant(spark, EVENT_TYPES, TABLES["dim_event_type"])
 
 
 def calendar(dates: DataFrame) -> DataFrame:
