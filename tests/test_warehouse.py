@@ -144,3 +144,15 @@ def test_verify(spark, warehouse):
 
 def test_scratch_follows_the_session(spark):
     assert scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_tables_in_sql(spark, warehouse):
+    warehouse.load_facts(facts(spark, [("a", "2024-01-01", "facebook", "like"), ("b", "2024-01-02", "facebook", "like")]))
+    warehouse.load_dimension(seeds.dim_event_type(spark), "dim_event_type")
+    warehouse.create_views()
+    found = spark.sql(
+        "SELECT count(DISTINCT user_key) AS dau FROM fct_events JOIN dim_event_type USING (event_type_key) "
+        "WHERE is_active_event AND date_key = DATE '2024-01-02'"
+    )
+    assert found.first()["dau"] == 1
+    assert "PartitionFilters: [isnotnull(_partition_date" in found._jdf.queryExecution().executedPlan().toString()

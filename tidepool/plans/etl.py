@@ -182,6 +182,7 @@ def daily_metrics(
             "user_key",
             "left_semi",
             spread="session_id",
+            hot_from=fact.select("user_key"),
         ).select(*grain, "session_id").distinct()
     counted = ["content_creates", "likes", "comments", "shares", "messages_sent", "ad_impressions", "ad_clicks"]
     sums = [F.sum("events").alias("total_events"), *[F.sum(c).alias(c) for c in counted]]

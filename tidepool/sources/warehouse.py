@@ -75,6 +75,11 @@ class Warehouse:
     def activity(self, start: DateLike | None = None, end: DateLike | None = None) -> DataFrame:
         return between_days(self.read("user_activity"), "date_key", start, end)
 
+    def create_views(self) -> None:
+        """Make every table available to ``spark.sql`` in this session, under its name."""
+        for table in TABLES:
+            self.read(table).createOrReplaceTempView(table)
+
     # -- writing -----------------------------------------------------------------
 
     def _conform(self, df: DataFrame, table: str) -> DataFrame:
