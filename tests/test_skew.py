@@ -82,17 +82,28 @@ def test_only_repeated_keys_are_shuffled(rows):
     unique = rows.select(F.col("id").cast("string").alias("k"), F.col("id"))
     doubled = unique.unionByName(unique.where("id < 10"))
     repeated = repeated_keys(doubled, "k")
-    assert repeated.count() == 10
+    assert repeated.count == repeated.hashes.count() == 10
     first = keep_first(doubled, "k", ["id"], repeated)
     assert first.count() == 30000
     assert first.columns == ["k", "id"]
 
 
+def test_nothing_is_shuffled_without_repeated_keys(rows):
+    unique = rows.select(F.col("id").cast("string").alias("k"), F.col("id"))
+    repeated = repeated_keys(unique, "k")
+    assert repeated.count == 0
+    first = keep_first(unique, "k", ["id"], repeated)
+    assert "Exchange" not in first._jdf.queryExecution().executedPlan().toString()
+    assert first.count() == 30000
+
+
 def test_probe_and_window_agree(rows):
     expected = {(r["k"], r["id"]) for r in keep_first(rows, "k", ["id"]).collect()}
     repeated = repeated_keys(rows, "k")
     assert {(r["k"], r["id"]) for r in keep_first(rows, "k", ["id"], repeated).collect()} == expected
 
 
-def test_too_many_repeated_keys_are_not_broadcast(rows, no_broadcast):
+def test_too_many_repeated_keys_are_not_broadcast(spark, rows, no_broadcast):
+    assert repeated_keys(rows, "k") is None
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
     assert repeated_keys(rows, "k") is None

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,24 +14,34 @@ from .skew import broadcast_limit
 BYTES_PER_HASH = 24
 
 
-def repeated_keys(df: DataFrame, key: str) -> DataFrame | None:
-    """Hashes of the keys that occur more than once, or None when they are too many to broadcast.
+class RepeatedKeys(NamedTuple):
+    """Hashes of the keys that occur more than once, few enough to broadcast, and their number."""
+
+    hashes: DataFrame
+    count: int
+
+
+def repeated_keys(df: DataFrame, key: str) -> RepeatedKeys | None:
+    """The keys of ``df`` that occur more than once; None when they are too many to broadcast.
 
     Counting 8-byte hashes is a narrow shuffle folded map-side. Two keys may share a hash;
     that only adds keys to look at more closely.
     """
-    hashes = (
+    limit = broadcast_limit(df)
+    if limit <= 0:
+        return None
+    counted = (
         df.where(F.col(key).isNotNull())
         .groupBy(F.xxhash64(key).alias("_hash"))
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    repeated = written(hashes.where("_rows > 1").select("_hash"))
-    fits = repeated.count() * BYTES_PER_HASH <= broadcast_limit(df)
-    return repeated if fits else None
+    hashes = written(counted.where("_rows > 1").select("_hash"))
+    count = hashes.count()
+    return RepeatedKeys(hashes, count) if count * BYTES_PER_HASH <= limit else None
 
 
 def keep_first(
-    df: DataFrame, key: str, order: list[str], repeated: DataFrame | None = None
+    df: DataFrame, key: str, order: list[str], repeated: RepeatedKeys | None = None
 ) -> DataFrame:
     """The first row of each non-null key by ``order``, nulls last.
 
@@ -43,8 +55,10 @@ def keep_first(
     df = df.where(F.col(key).isNotNull())
     if repeated is None:
         return _first_rows(df, key, order)
+    if repeated.count == 0:
+        return df
     hashed = df.withColumn("_hash", F.xxhash64(key))
-    suspects = F.broadcast(repeated)
+    suspects = F.broadcast(repeated.hashes)
     single = hashed.join(suspects, "_hash", "left_anti")
     several = _first_rows(hashed.join(suspects, "_hash", "left_semi"), key, order)
     return single.unionByName(several).drop("_hash")

@@ -38,7 +38,7 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
         .where(F.col(key).isNotNull())
         .groupBy("_group")
         .agg(
-            F.expr(f"approx_top_k_accumulate({key}, {tracked})").alias("sketch"),
+            F.expr(f"approx_top_k_accumulate(`{key}`, {tracked})").alias("sketch"),
             F.count(F.lit(1)).alias("rows"),
         )
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.activity import user_activity
-from ..operators.dedup import repeated_keys
+from ..operators.dedup import RepeatedKeys, repeated_keys
 from ..sources import binding, seeds
 from ..sources.scratch import application_dir
 from ..sources.warehouse import Warehouse, fact_date_bounds
@@ -43,11 +43,19 @@ class BoundWarehouse:
             self.warehouse.replace(table, self._builders[table]())
         return self.warehouse.read(table)
 
+    def _raw(self) -> tuple[DataFrame, RepeatedKeys | None]:
+        """Raw events, and which of their ids repeat, from a scan of the ids alone."""
+        ids = binding.event_ids(self.spark, self.sf_dir)
+        return binding.raw_events(self.spark, self.sf_dir), repeated_keys(ids, "event_id")
+
     def clean_events(self) -> DataFrame:
-        raw = binding.raw_events(self.spark, self.sf_dir)
-        repeated = repeated_keys(binding.event_ids(self.spark, self.sf_dir), "event_id")
+        raw, repeated = self._raw()
         return etl.clean_events(raw, self.as_of, repeated)
 
+    def clean_report(self) -> DataFrame:
+        raw, repeated = self._raw()
+        return etl.clean_report(raw, self.as_of, repeated)
+
     def new_facts(self) -> DataFrame:
         users = binding.event_users(self.spark, self.sf_dir)
         return etl.build_fact_events(self.clean_events(), self["dim_users"], hot_from=users)

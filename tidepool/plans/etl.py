@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import DateLike, count_where, day, moment, ratio, rounded, shift_day
 from ..operators.activity import COUNTED_TYPES, per_user
-from ..operators.dedup import keep_first
+from ..operators.dedup import RepeatedKeys, keep_first
 from ..operators.skew import lookup
 from ..schemas import TABLES, columns
 from ..sources.seeds import EVENT_TYPE_KEYS
@@ -27,7 +27,7 @@ FIRST_BY = [
 ]
 
 
-def _first_events(events: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+def _first_events(events: DataFrame, repeated: RepeatedKeys | None = None) -> DataFrame:
     """Typed events, one row per event id."""
     typed = events.withColumn("event_timestamp", F.col("event_timestamp").try_cast("timestamp_ntz"))
     return keep_first(typed, "event_id", FIRST_BY, repeated)
@@ -46,7 +46,7 @@ def _defects(as_of: dt.datetime | str | None) -> dict[str, Column]:
 def clean_events(
     events: DataFrame,
     as_of: dt.datetime | str | None = None,
-    repeated: DataFrame | None = None,
+    repeated: RepeatedKeys | None = None,
 ) -> DataFrame:
     """De-duplicate, then drop events with null keys, bad times, unknown types or future times.
 
@@ -60,7 +60,11 @@ def clean_events(
     return kept
 
 
-def clean_report(events: DataFrame, as_of: dt.datetime | str | None = None) -> DataFrame:
+def clean_report(
+    events: DataFrame,
+    as_of: dt.datetime | str | None = None,
+    repeated: RepeatedKeys | None = None,
+) -> DataFrame:
     """One row counting what ``clean_events`` reads, removes by reason, and keeps."""
     raw = events.agg(
         F.count(F.lit(1)).alias("initial_events"),
@@ -72,7 +76,7 @@ def clean_report(events: DataFrame, as_of: dt.datetime | str | None = None) -> D
     for name, defect in _defects(as_of).items():
         reasons[name] = count_where(sound & defect)
         sound = sound & ~defect
-    first = _first_events(events).agg(
+    first = _first_events(events, repeated).agg(
         F.count(F.lit(1)).alias("first_events"),
         *[count.alias(name) for name, count in reasons.items()],
         count_where(sound).alias("final_events"),

@@ -160,9 +160,9 @@ def check_freshness(
     measured = df.agg(F.max(column).cast("timestamp_ntz").alias("latest_timestamp"))
     seconds = F.timestamp_diff("MICROSECOND", latest, moment(as_of)).cast("double") / 1e6
     hours = seconds / 3600
-    text = F.when(
-        F.date_format(latest, "SSSSSS") == "000000", F.date_format(latest, "yyyy-MM-dd HH:mm:ss")
-    ).otherwise(F.date_format(latest, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    # Microseconds in full or not at all.
+    text = latest.cast("string")
+    text = F.when(text.contains("."), F.rpad(text, 26, "0")).otherwise(text)
     verdict = _verdict(
         "freshness",
         table,

@@ -92,6 +92,8 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     k = F.col("k")
     user = F.col("user_id").cast("string")
+    # yyyyMMddHH cut from the text form, which knows no time zone.
+    hour = F.translate(F.substring(F.col("ts").cast("string"), 1, 13), "- ", "")
     return located.select(
         F.col("event_id").cast("string").alias("event_id"),
         user.alias("user_id"),
@@ -102,5 +104,5 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("event_timestamp"),
         "country",
         _pick(DEVICES, F.col("user_id")).alias("device_type"),
-        F.concat(user, F.lit("_"), F.date_format("ts", "yyyyMMddHH")).alias("session_id"),
+        F.concat(user, F.lit("_"), hour).alias("session_id"),
     )
