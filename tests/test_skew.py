@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidepool.operators.dedup import keep_first, repeated_keys
-from tidepool.operators.skew import fits_broadcast, hot_keys, lookup
+from tidepool.operators.skew import estimated_bytes, fits_broadcast, hot_keys, lookup
 
 
 @pytest.fixture
@@ -25,10 +25,12 @@ def rows(spark, tmp_path_factory):
 
 
 @pytest.fixture(scope="module")
-def dim(spark):
+def dim(spark, tmp_path_factory):
     # Some keys are missing, one has two rows.
     d = spark.range(0, 5000, 2).select(F.col("id").cast("string").alias("k"), (F.col("id") * 10).alias("v"))
-    return d.unionByName(spark.createDataFrame([("7", 70), ("7", 71)], "k string, v long"))
+    path = str(tmp_path_factory.mktemp("skew") / "dim")
+    d.unionByName(spark.createDataFrame([("7", 70), ("7", 71)], "k string, v long")).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def test_hot_keys(rows):
@@ -40,10 +42,16 @@ def test_hot_keys_of_nothing(rows):
     assert hot_keys(rows.where("k IS NULL"), "k").collect() == []
 
 
+@pytest.mark.parametrize("join", ["SortMergeJoin", "ShuffledHashJoin"])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_spread_join_equals_plain_join(rows, dim, no_broadcast, how):
+def test_spread_join_equals_plain_join(spark, rows, dim, no_broadcast, how, join):
     plain = rows.join(dim, "k", how)
+    if join == "ShuffledHashJoin":
+        # Too large to broadcast, but not once divided among 8 partitions.
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(estimated_bytes(dim) // 4))
     spread = lookup(rows, dim, "k", how, spread="id")
+    plan = spread._jdf.queryExecution().executedPlan().toString()
+    assert join in plan and "_salt" in plan
     assert sorted(plain.columns) == sorted(spread.columns)
     assert plain.exceptAll(spread.select(plain.columns)).count() == 0
     assert plain.count() == spread.count()
@@ -67,8 +75,8 @@ def test_rows_of_the_hot_key_are_spread(spark, rows, dim, no_broadcast):
 
 
 def test_small_side_is_left_to_catalyst(rows, dim):
-    assert fits_broadcast(dim.limit(10))
-    plan = lookup(rows, dim.limit(10), "k", "left", spread="id")._jdf.queryExecution().toString()
+    assert fits_broadcast(dim)
+    plan = lookup(rows, dim, "k", "left", spread="id")._jdf.queryExecution().toString()
     assert "approx_top_k" not in plan and "_salt" not in plan
 
 

@@ -18,10 +18,14 @@ def broadcast_limit(df: DataFrame) -> int:
     return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The size Spark's optimizer assumes for ``df``."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """True when Spark's own size estimate lets it broadcast ``df`` without being told to."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= broadcast_limit(df)
+    return estimated_bytes(df) <= broadcast_limit(df)
 
 
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
@@ -69,6 +73,8 @@ def lookup(
     A right side within the broadcast limit is left to Catalyst. Beyond it both sides are
     shuffled, and the rows of hot (or null) keys are spread over all shuffle partitions
     by a hash of the ``spread`` column, against copies of the few matching right rows.
+    When a partition of the right side stays within the broadcast limit it is hashed, which
+    spares the much larger left side the sort.
 
     ``hot_from`` names a cheaper relation to find the hot keys in, such as the raw scan
     under ``left``.
@@ -99,4 +105,6 @@ def lookup(
         )
         .drop("_hot")
     )
+    if estimated_bytes(right) <= broadcast_limit(right) * salts:
+        salted_right = salted_right.hint("shuffle_hash")
     return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")
