@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,16 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder, which all executors share.
 
-    Only a local session may fall back to a folder of its own machine.
+    A session without one gets a folder in its warehouse, which is shared as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="tidepool-")
+    if not folder:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
         spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
-    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return folder
 
 
 def application_dir(spark: SparkSession) -> str:
