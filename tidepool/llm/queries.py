@@ -2,12 +2,52 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join
-from .tables import table
+from ..sources.scratch import application_dir
+from . import decontamination, jaccard_join, language_id, quality_fm, severity, token_files
+from .tables import held_out, table
+
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Where the installed package of public tokenizers has a vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return severity.score(docs, severity.train(docs, labels, "toxic", flags=True))
+
+
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("hit_runs")
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = held_out("doc_id", 3, 1)
+    machine = quality_fm.train(docs, labels.where(~out), "quality")
+    return quality_fm.score(docs, machine).withColumn("held_out", out)
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = held_out("doc_id", 4, 2)
+    return language_id.predict(docs, language_id.train(docs.where(~out))).withColumn("held_out", out)
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{application_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return token_files.read_tokens(spark, path)
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,9 +56,44 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
+        "op2_benchmark_decontamination": op2_benchmark_decontamination,
+        "op3_quality_classifier": op3_quality_classifier,
+        "op7_language_id": op7_language_id,
+        "op9_token_files": op9_token_files,
         "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     }
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP2_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS words
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)
+),
+lengths AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS words
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lengths WHERE len(w) >= n)
+),
+found AS (SELECT doc_id, item_id, n, i FROM places JOIN windows USING (n, words)),
+hit AS (
+  SELECT doc_id, count(DISTINCT j) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM (SELECT DISTINCT doc_id, n, i FROM found)) GROUP BY doc_id
+),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_benchmark_decontamination": OP2_SQL}
