@@ -13,10 +13,10 @@ bring documents together. A second sketch of 512 parity bits, whose Hamming dist
 the difference from below too, rejects most candidates that are left; the others are
 compared by their whole shingle sets.
 
-Groups may hold any share of the corpus. A first round links every document to one other
-that shares one of its four first segments; documents in one group then carry one label.
-The full join only has to look at segments that two different labels share, so no group's
-pairs are listed.
+Groups may hold any share of the corpus. First rounds link documents to a few others that
+share one of their four first segments; documents in one group then carry one label. The full
+join only has to look at segments that two different labels share, first with such rounds
+and at last at all pairs of different labels, so no group's pairs are listed.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import written
@@ -39,6 +39,9 @@ WORDS = 5
 SHARE = 75
 SKETCH_WORDS = 8  # of 64 parity bits
 FIRST_KEYS = 4
+# Rounds of merging at most, by first segments and by all, and the documents that each one
+# tries per round.
+FIRST_ROUNDS, ROUNDS, BEST_PIVOTS = 1, 2, 3
 # A shingle is frequent when that many documents of one batch hold it; the list of frequent
 # ones only orders segments, and its size is bounded.
 FREQUENT_IN_BATCH = 4
@@ -230,12 +233,69 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return dealt.select("pivot", "salt", "doc_id", "items").mapInArrow(_compare, "a long, b long")
 
 
-def _labelled(sets: DataFrame, labels: DataFrame, rows: int, columns: list[str]) -> DataFrame:
-    """Representatives with the label of their group so far; alone they are their own."""
-    both = joined(sets.select("doc_id", *columns), labels, "doc_id", "left", rows)
-    return both.where("NOT coalesce(copy, false)").select(
-        F.coalesce("label", "doc_id").alias("label"), "doc_id", *columns
-    )
+def _labelled(rows: DataFrame, labels: DataFrame, count: int) -> DataFrame:
+    """``rows`` with the label of each document's group so far; alone it is its own."""
+    out = joined(rows.drop("label"), labels, "doc_id", "left", count)
+    return out.withColumn("label", F.coalesce("label", "doc_id"))
+
+
+def _possible(a: str, b: str):
+    """True when sizes and parity bits allow the pair to be similar."""
+    differ = sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in _SKETCH), F.lit(0))
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    return (100 * F.least(n, m) >= SHARE * F.greatest(n, m)) & (7 * differ <= n + m)
+
+
+class _Groups:
+    """Groups found so far, and rounds that merge more of them."""
+
+    def __init__(self, docs: DataFrame):
+        self.docs = docs
+        spark = docs.sparkSession
+        self.links = spark.createDataFrame([], "a long, b long")
+        self.labels = spark.createDataFrame([], "doc_id long, label long")
+        self.count = 0
+
+    def add(self, pairs: DataFrame) -> int:
+        """Verifies stored candidate pairs; the number of links found."""
+        new = written(verified(self.docs, pairs))
+        found = new.count()
+        if found:
+            self.links = self.links.union(new)
+            self.labels = written(
+                components(self.links).select(F.col("id").alias("doc_id"), "label").where("label <> doc_id")
+            )
+            self.count = self.labels.count()
+        return found
+
+    def mixed(self, rows: DataFrame) -> DataFrame:
+        """Rows (key, doc_id, n, parity bits) of keys that two labels share, stored."""
+        rows = _labelled(rows, self.labels, self.count)
+        spans = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        return written(rows.join(spans.where("low < high").select("key"), "key"))
+
+    def merge(self, rows: DataFrame, rounds: int) -> DataFrame:
+        """Links documents to one document of each of their keys, another in each round.
+
+        The pivot of a key is its document of the smallest hash; each document tries the
+        BEST_PIVOTS that share the most keys with it, so a round's work follows the number
+        of documents whatever the size of their groups. Gives the rows of the last round.
+        """
+        member = F.struct("doc_id", "label", "n", *_SKETCH)
+        for turn in range(rounds):
+            rows = self.mixed(rows)
+            order = F.xxhash64("doc_id", F.lit(turn))
+            pivots = rows.groupBy("key").agg(F.min_by(member, order).alias("p"))
+            pairs = rows.select("key", member.alias("m")).join(pivots, "key")
+            pairs = pairs.where((F.col("m.label") != F.col("p.label")) & _possible("m", "p"))
+            pairs = pairs.groupBy(F.col("m.doc_id").alias("a"), F.col("p.doc_id").alias("b")).agg(
+                F.count(F.lit(1)).alias("c")
+            )
+            best = Window.partitionBy("a").orderBy(F.desc("c"), "b")
+            pairs = pairs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= BEST_PIVOTS)
+            if not self.add(written(pairs.select("a", "b"))):
+                break
+        return rows
 
 
 def similar_groups(docs: DataFrame) -> DataFrame:
@@ -252,46 +312,36 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     # classes of equal sets
     named = sets.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("c"))
     repeated = named.where("c > 1").select("digest", "rep")
-    copies = written(sets.select("doc_id", "digest").join(repeated, "digest").select("doc_id", "rep"))
-    extra = copies.where("doc_id <> rep")
+    copies = written(sets.select("doc_id", "digest").join(repeated, "digest").where("doc_id <> rep").select("doc_id", "rep"))
+    n_copies = copies.count()
+    everyone = sets.select("doc_id", F.col("n").alias("n_shingles"))
+    sets = joined(sets, copies.select("doc_id"), "doc_id", "left_anti", n_copies)
+    groups = _Groups(docs)
 
-    # first round: every representative against one document with an equal first segment
+    # first rounds: documents whose first segments are equal
     first = sets.select("doc_id", F.explode("first").alias("key"))
-    first = joined(first, extra.select("doc_id"), "doc_id", "left_anti", extra.count())
-    low = first.groupBy("key").agg(F.min("doc_id").alias("b"), F.count(F.lit(1)).alias("c"))
-    pairs = first.join(low.where("c > 1"), "key").where("doc_id <> b")
-    pairs = written(pairs.groupBy("doc_id").agg(F.min("b").alias("b")).select(F.col("doc_id").alias("a"), "b"))
-    links = written(verified(docs, pairs))
-    grouped = components(links)
-    labels = grouped.select(F.col("id").alias("doc_id"), "label", F.lit(False).alias("copy")).union(
-        extra.select("doc_id", F.col("rep").alias("label"), F.lit(True).alias("copy"))
-    )
-    labels = written(labels)
-    label_rows = labels.count()
+    shared = first.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+    shared = written(shared)
+    rows = sets.select("doc_id", "n", *_SKETCH, F.explode("first").alias("key"))
+    groups.merge(joined(rows, shared, "key", "inner", shared.count()), FIRST_ROUNDS)
 
     # full join: segments that two labels share
-    keyed = _labelled(sets, labels, label_rows, ["keys"]).select(F.explode("keys").alias("key"), "label")
+    keyed = _labelled(sets.select("doc_id", "keys"), groups.labels, groups.count).select(
+        F.explode("keys").alias("key"), "label"
+    )
     spans = keyed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     shared = written(spans.where("low < high").select("key"))
-    shared_rows = shared.count()
-    rows = _labelled(sets, labels, label_rows, ["n", "keys", *_SKETCH]).withColumn("key", F.explode("keys"))
-    rows = joined(rows.drop("keys"), shared, "key", "inner", shared_rows)
-    rows = written(rows)
-    left = rows.select("key", *[F.col(c).alias(f"{c}_a") for c in rows.columns if c != "key"])
-    right = rows.select("key", *[F.col(c).alias(f"{c}_b") for c in rows.columns if c != "key"])
-    differ = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in _SKETCH), F.lit(0))
-    candidates = left.join(right, "key").where(
-        (F.col("label_a") > F.col("label_b"))
-        & (100 * F.least("n_a", "n_b") >= SHARE * F.greatest("n_a", "n_b"))
-        & (7 * differ <= F.col("n_a") + F.col("n_b")),
-    )
-    candidates = written(candidates.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct())
-    more = written(verified(docs, candidates))
-
-    groups = components(links.union(more).union(copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))))
-    groups = written(groups.withColumnRenamed("id", "doc_id").withColumnRenamed("label", "component_id"))
-    out = joined(sets.select("doc_id", F.col("n").alias("n_shingles")), groups, "doc_id", "left", groups.count())
-    return out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    rows = sets.select("doc_id", "n", *_SKETCH, F.explode("keys").alias("key"))
+    rows = groups.merge(joined(rows, shared, "key", "inner", shared.count()), FIRST_ROUNDS)
+    sides = [rows.select("key", F.struct("doc_id", "label", "n", *_SKETCH).alias(side)) for side in ("m", "p")]
+    candidates = sides[0].join(sides[1], "key").where((F.col("m.label") > F.col("p.label")) & _possible("m", "p"))
+    groups.add(written(candidates.select(F.col("m.doc_id").alias("a"), F.col("p.doc_id").alias("b")).distinct()))
+
+    # the representative has the smallest id of its class
+    out = joined(everyone, copies, "doc_id", "left", n_copies).withColumn("rep", F.coalesce("rep", "doc_id"))
+    labels = groups.labels.withColumnRenamed("doc_id", "rep")
+    out = joined(out, labels, "rep", "left", groups.count)
+    return out.select("doc_id", "n_shingles", F.coalesce("label", "rep").alias("component_id"))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
