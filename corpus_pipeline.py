@@ -7,17 +7,45 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import jaccard_join
+from tidepool.llm import decontamination, jaccard_join, language_id, mixing, token_files
+from tidepool.llm.queries import tokenizer_path
+from tidepool.llm.tables import table
 from tidepool.sources.scratch import application_dir
 
 
-def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known; the others have no letters, or resemble none."""
+    return language_id.keep_identified(docs, language_id.train(docs))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group of near duplicates."""
     return jaccard_join.keep_first(docs)
 
 
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of a benchmark item."""
+    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents sampled towards smoothed shares of sources, languages and topics."""
+    return mixing.mixed(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each document's token ids are in the written files, read back from them."""
+    path = f"{application_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    token_files.write_tokens(docs, path, tokenizer_path())
+    return token_files.read_tokens(spark, path)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("near_duplicates", one_of_each_group),
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_leaks", benchmark_leaks),
+    ("mixture", mixture),
+    ("tokens", tokens),
 ]
 
 # Language models, hashed shingles, sampling and token files are beyond SQL; the stages are

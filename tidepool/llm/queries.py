@@ -6,9 +6,21 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.scratch import application_dir
-from . import decontamination, jaccard_join, language_id, quality_fm, severity, token_files
+from . import (
+    decontamination,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    mixing,
+    quality_fm,
+    robust_outliers,
+    secrets,
+    severity,
+    token_files,
+)
 from .tables import held_out, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -38,12 +50,29 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.score(docs, machine).withColumn("held_out", out)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.without_repeated_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
+def op5_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return robust_outliers.judged(table(spark, sf_dir, "documents"))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_spans(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = held_out("doc_id", 4, 2)
     return language_id.predict(docs, language_id.train(docs.where(~out))).withColumn("held_out", out)
 
 
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.sampled(table(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{application_dir(spark)}/tokens-{uuid.uuid4().hex}"
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path())
@@ -59,7 +88,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_toxicity": op1_toxicity,
         "op2_benchmark_decontamination": op2_benchmark_decontamination,
         "op3_quality_classifier": op3_quality_classifier,
+        "op4_line_dedup": op4_line_dedup,
+        "op5_robust_outliers": op5_robust_outliers,
+        "op6_secret_scan": op6_secret_scan,
         "op7_language_id": op7_language_id,
+        "op8_source_mixing": op8_source_mixing,
         "op9_token_files": op9_token_files,
         "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     }
@@ -95,5 +128,30 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+# A run of four lines, or a line of 50 words, that stands at an earlier place too.
+OP4_SQL = r"""
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+t AS (SELECT doc_id, list_transform(l, lambda x: regexp_replace(x, '^[ \t-\r]+|[ \t-\r]+$', '', 'g')) AS l FROM d WHERE text IS NOT NULL),
+w AS (
+  SELECT doc_id, i - 1 AS start, 4 AS size, l[i : i + 3] AS content
+  FROM (SELECT doc_id, l, unnest(range(1, len(l) - 2)) AS i FROM t)
+  UNION ALL
+  SELECT doc_id, i - 1, 1, l[i : i] FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM t)
+  WHERE len(regexp_split_to_array(trim(l[i]), '[ \t-\r]+')) >= 50
+),
+f AS (SELECT *, first_value(doc_id) OVER p AS d0, first_value(start) OVER p AS s0 FROM w WINDOW p AS (PARTITION BY size, content ORDER BY doc_id, start)),
+r AS (
+  SELECT DISTINCT doc_id, unnest(range(start, start + size)) AS place FROM f
+  WHERE doc_id <> d0 OR start >= s0 + size
+),
+g AS (SELECT doc_id, list(place) AS removed FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(len(l), 0) AS n_lines, coalesce(len(removed), 0) AS n_removed,
+  sha256(CASE WHEN removed IS NULL THEN text ELSE
+    array_to_string(list_transform(list_filter(range(1, len(l) + 1), lambda i: NOT list_contains(removed, i - 1)), lambda i: l[i]), chr(10))
+  END) AS text_sha256
+FROM d LEFT JOIN g USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_benchmark_decontamination": OP2_SQL}
+    return {"op2_benchmark_decontamination": OP2_SQL, "op4_line_dedup": OP4_SQL}
