@@ -332,7 +332,7 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     spans = keyed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     shared = written(spans.where("low < high").select("key"))
     rows = sets.select("doc_id", "n", *_SKETCH, F.explode("keys").alias("key"))
-    rows = groups.merge(joined(rows, shared, "key", "inner", shared.count()), FIRST_ROUNDS)
+    rows = groups.mixed(groups.merge(joined(rows, shared, "key", "inner", shared.count()), ROUNDS))
     sides = [rows.select("key", F.struct("doc_id", "label", "n", *_SKETCH).alias(side)) for side in ("m", "p")]
     candidates = sides[0].join(sides[1], "key").where((F.col("m.label") > F.col("p.label")) & _possible("m", "p"))
     groups.add(written(candidates.select(F.col("m.doc_id").alias("a"), F.col("p.doc_id").alias("b")).distinct()))
