@@ -19,6 +19,7 @@ leaves no half-written shard, and any store that Spark can write will do.
 from __future__ import annotations
 
 import os
+import re
 import struct
 from collections.abc import Iterator
 from zlib import crc32
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .range_coder import decode, encode
 
-BLOCK_IDS = 1 << 20
+BLOCK_IDS = 1 << 21
 END_ID = 0
 # Encoded pieces of text that a worker remembers.
 REMEMBERED = 400_000
@@ -77,6 +78,15 @@ def unpack(block: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     )
 
 
+def _visible(character: str) -> bool:
+    """"!" to "~" and Latin letters: surely no white space."""
+    return "!" <= character <= "~" or "À" <= character <= "ɏ"
+
+
+# A space that no visible character follows.
+_UNSAFE_SPACE = re.compile(" (?![!-~À-ɏ])")
+
+
 class _Encoder:
     """A byte-level tokenizer that encodes each distinct piece of text once.
 
@@ -96,29 +106,49 @@ class _Encoder:
     def _pieces(self, text: str) -> list[str]:
         if any(s in text for s in self.special):
             return [text]  # special tokens are found in whole texts
+        if "\0" not in text and not _UNSAFE_SPACE.search(text):
+            return text.replace(" ", "\0 ").split("\0")
         first, *rest = text.split(" ")
-        pieces = [first] if first else []
+        pieces = [first]
         for p in rest:
-            # "!" to "~" and Latin letters are visible; other pieces stay with what is before
-            if p and ("!" <= p[0] <= "~" or "À" <= p[0] <= "ɏ") or not pieces:
+            if p and _visible(p[0]) or pieces == [""]:
                 pieces.append(" " + p)
-            else:
+            else:  # such a space stays with what is before
                 pieces[-1] += " " + p
         return pieces
 
+    def _learn(self, new: list[str]) -> None:
+        """Encodes pieces, many joined to one text each, whose tokens are told apart by place."""
+        alone = [p for p in new if not (p[0] == " " and len(p) > 1 and _visible(p[1])) or len(p) > 200]
+        for p, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
+            self.known[p] = np.array(e.ids, dtype="<u4").tobytes()
+        apart = set(alone)
+        many = [p for p in new if p not in apart]
+        groups = [many[k : k + 500] for k in range(0, len(many), 500)]
+        for group, e in zip(groups, self.tokenizer.encode_batch(["".join(g) for g in groups], add_special_tokens=False)):
+            starts = np.fromiter((o[0] for o in e.offsets), dtype=np.int64, count=len(e.ids))
+            ends = np.cumsum([len(p) for p in group])
+            raw = np.array(e.ids, dtype="<u4").tobytes()
+            low = 0
+            for p, high in zip(group, (4 * np.searchsorted(starts, ends)).tolist()):
+                self.known[p] = raw[low:high]
+                low = high
+
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text."""
         if len(self.known) > REMEMBERED:
             self.known.clear()
+        get = self.known.get
         cut = [self._pieces(t) for t in texts]
-        known = self.known
-        new = list({p for pieces in cut for p in pieces if p not in known})
-        for start in range(0, len(new), 10_000):
-            part = new[start : start + 10_000]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[p] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-        for pieces in cut:
-            yield np.frombuffer(b"".join([known[p] for p in pieces]), dtype="<u4")
+        found = [list(map(get, pieces)) for pieces in cut]
+        new = {p for pieces, ids in zip(cut, found) if None in ids for p, x in zip(pieces, ids) if x is None}
+        new.discard("")
+        self._learn(list(new))
+        self.known[""] = b""
+        for pieces, ids in zip(cut, found):
+            if None in ids:
+                ids = [get(p) if x is None else x for p, x in zip(pieces, ids)]
+            yield np.frombuffer(b"".join(ids), dtype="<u4")
 
 
 _encoders: dict[int, _Encoder] = {}  # of this worker process, by the tokenizer's checksum
