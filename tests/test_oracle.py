@@ -6,12 +6,12 @@ import __spark_entry__ as entry
 from comparison import assert_same, connection
 from conftest import TESTDATA
 
-QUERIES = entry.queries()
+QUERIES = {name: entry.queries()[name] for name in entry._queries()}
 ORACLE = entry.oracle_sql()
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(ORACLE)
 
 
 @pytest.mark.parametrize("name", QUERIES)

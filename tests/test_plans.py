@@ -10,7 +10,7 @@ from tidepool.sources import raw
 from tidepool.sources.binding import raw_events
 
 SF_DIR = f"{TESTDATA}/sf0.001"
-QUERIES = entry.queries()
+QUERIES = {name: entry.queries()[name] for name in entry._queries()}
 
 
 def executed(df):

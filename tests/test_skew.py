@@ -1,10 +1,12 @@
 """Results under hot and null keys, and how evenly their rows are spread."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from tidepool.operators.dedup import keep_first, repeated_keys
-from tidepool.operators.skew import estimated_bytes, fits_broadcast, hot_keys, lookup
+from tidepool.operators.skew import broadcast_limit, fits_broadcast, hot_keys, lookup, most_hot_keys
 
 
 @pytest.fixture
@@ -42,16 +44,12 @@ def test_hot_keys_of_nothing(rows):
     assert hot_keys(rows.where("k IS NULL"), "k").collect() == []
 
 
-@pytest.mark.parametrize("join", ["SortMergeJoin", "ShuffledHashJoin"])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_spread_join_equals_plain_join(spark, rows, dim, no_broadcast, how, join):
+def test_spread_join_equals_plain_join(spark, rows, dim, no_broadcast, how):
     plain = rows.join(dim, "k", how)
-    if join == "ShuffledHashJoin":
-        # Too large to broadcast, but not once divided among 8 partitions.
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(estimated_bytes(dim) // 4))
     spread = lookup(rows, dim, "k", how, spread="id")
     plan = spread._jdf.queryExecution().executedPlan().toString()
-    assert join in plan and "_salt" in plan
+    assert "SortMergeJoin" in plan and "_salt" in plan
     assert sorted(plain.columns) == sorted(spread.columns)
     assert plain.exceptAll(spread.select(plain.columns)).count() == 0
     assert plain.count() == spread.count()
@@ -86,32 +84,35 @@ def test_first_rows_are_limited_before_the_shuffle(rows):
     assert plan.index("Exchange") < partial  # the plan prints the last step first
 
 
-def test_only_repeated_keys_are_shuffled(rows):
-    unique = rows.select(F.col("id").cast("string").alias("k"), F.col("id"))
-    doubled = unique.unionByName(unique.where("id < 10"))
-    repeated = repeated_keys(doubled, "k")
-    assert repeated.count == repeated.hashes.count() == 10
-    first = keep_first(doubled, "k", ["id"], repeated)
-    assert first.count() == 30000
-    assert first.columns == ["k", "id"]
+def test_limits_follow_the_session(spark, rows, no_broadcast):
+    for text, size in (("-1", -1), ("1000", 1000), ("256k", 262144), ("10485760b", 10485760), ("2MB", 2097152)):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
+        assert broadcast_limit(rows) == size
+    assert most_hot_keys(rows) == 500
 
 
-def test_nothing_is_shuffled_without_repeated_keys(rows):
+@pytest.mark.parametrize("copies", [0, 10, 20000])
+def test_only_suspects_are_shuffled(spark, rows, no_broadcast, copies):
+    """Whatever the number of copies and the broadcast limit, the wide rows that pass the
+    filter stay where they are."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
     unique = rows.select(F.col("id").cast("string").alias("k"), F.col("id"))
-    repeated = repeated_keys(unique, "k")
-    assert repeated.count == 0
-    first = keep_first(unique, "k", ["id"], repeated)
-    assert "Exchange" not in first._jdf.queryExecution().executedPlan().toString()
+    doubled = unique.unionByName(unique.where(F.col("id") < copies))
+    first = keep_first(doubled, "k", ["id"], repeated_keys(doubled, "k"))
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    suspects, others = 0, 0
+    for part in plan.split("Exchange hashpartitioning(k#")[1:]:
+        # what is below the exchange: rows that the filter marked, and no others
+        suspects += re.search(r"Filter \(?_again|Filter coalesce", part) is not None
+        others += 1
+    assert suspects == others > 0 and "SortMergeJoin" not in plan
     assert first.count() == 30000
+    assert first.columns == ["k", "id"]
 
 
-def test_probe_and_window_agree(rows):
+@pytest.mark.parametrize("words", [1, 4, 1 << 20])
+def test_filter_and_window_agree(rows, words):
+    """A filter that is too full only looks at more rows."""
     expected = {(r["k"], r["id"]) for r in keep_first(rows, "k", ["id"]).collect()}
-    repeated = repeated_keys(rows, "k")
-    assert {(r["k"], r["id"]) for r in keep_first(rows, "k", ["id"], repeated).collect()} == expected
-
-
-def test_too_many_repeated_keys_are_not_broadcast(spark, rows, no_broadcast):
-    assert repeated_keys(rows, "k") is None
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
-    assert repeated_keys(rows, "k") is None
+    first = keep_first(rows, "k", ["id"], repeated_keys(rows, "k", words), words)
+    assert {(r["k"], r["id"]) for r in first.collect()} == expected

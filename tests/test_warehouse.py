@@ -42,6 +42,31 @@ def test_raw_round_trip(spark, tmp_path):
     assert none.count() == 0 and none.columns == events.columns
 
 
+@pytest.mark.parametrize("unit", ["ns", "us", "ms", "text"])
+def test_encodings_of_times(spark, tmp_path, unit):
+    """Files as other writers make them; text that is no time becomes null."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    times = [dt.datetime(2024, 1, 5, 1, 2, 3, 456000), dt.datetime(1969, 12, 31, 23, 59, 59, 500000), None]
+    stamp = pa.array([str(t) if t else "no time" for t in times]) if unit == "text" else pa.array(times, pa.timestamp(unit))
+    names = ["event_id", "user_id", "event_type", "platform", "country", "device_type", "session_id"]
+    table = pa.table({n: ["a", "b", "c"] for n in names} | {"event_timestamp": stamp})
+    folder = tmp_path / "events" / "dt=2024-01-05"
+    folder.mkdir(parents=True)
+    pq.write_table(table, folder / "part.parquet")
+    (tmp_path / "events" / "dt=2024-01-06").mkdir()
+    events = raw.extract_events_for_date(spark, str(tmp_path), "2024-01-05")
+    assert [r["event_timestamp"] for r in events.orderBy("event_id").collect()] == times
+    assert raw.available_dates(spark, str(tmp_path)) == [dt.date(2024, 1, 5), dt.date(2024, 1, 6)]
+    signups = table.select(["user_id", "country", "device_type"]).append_column("signup_date", stamp)
+    for n in ("age_group", "user_segment", "primary_platform"):
+        signups = signups.append_column(n, pa.array(["x"] * 3))
+    pq.write_table(signups, tmp_path / "users.parquet")
+    users = raw.extract_users(spark, str(tmp_path))
+    assert [r["signup_date"] for r in users.orderBy("user_id").collect()] == times
+
+
 def test_missing_raw_files(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         raw.extract_users(spark, str(tmp_path)).count()
@@ -128,12 +153,26 @@ def test_reloading_a_day_without_events_empties_it(spark, warehouse):
     assert keys(warehouse.fact()) == ["a"]
 
 
-def test_events_of_other_days_are_added_once(spark, warehouse):
-    warehouse.load_facts(facts(spark, [("old", "2024-01-01", "facebook", "like")]))
+def test_a_failed_day_load_keeps_the_old_day(spark, warehouse):
+    """A row of another day is refused rather than lost, and nothing is half replaced."""
+    warehouse.load_facts(facts(spark, [("old", "2024-01-01", "facebook", "like"), ("day", "2024-01-02", "facebook", "like")]))
     mixed = facts(spark, [("x", "2024-01-02", "facebook", "like"), ("late", "2024-01-01", "facebook", "like")])
-    for _ in range(2):
+    with pytest.raises(Exception, match="row of another day: 2024-01-01"):
         warehouse.load_facts(mixed, "2024-01-02")
-    assert keys(warehouse.fact()) == ["late", "old", "x"]
+    assert keys(warehouse.fact()) == ["day", "old"]
+    warehouse.replace_days("fct_events", mixed, ["2024-01-01", "2024-01-02", "2024-01-03"])
+    assert keys(warehouse.fact()) == ["late", "x"]
+
+
+def test_an_interrupted_swap_of_days_is_finished(spark, warehouse, tmp_path):
+    warehouse.load_facts(facts(spark, [("a", "2024-01-01", "facebook", "like"), ("b", "2024-01-02", "facebook", "like")]))
+    staged = tmp_path / "fct_events__days"
+    staged.mkdir()
+    (tmp_path / "fct_events" / "_partition_date=2024-01-02").rename(staged / "_partition_date=2024-01-03")
+    (staged / "_partition_date=2024-01-01").mkdir()
+    (staged / "_READY").touch()
+    assert warehouse.days("fct_events") == [dt.date(2024, 1, 3)]
+    assert keys(warehouse.fact()) == ["b"]
 
 
 def test_verify(spark, warehouse):

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import DateLike, day
+from .dedup import keep_first
 
 TRACKED = ["country", "age_group", "device_type", "user_segment", "signup_date", "primary_platform"]
 
@@ -15,13 +16,17 @@ def scd2_merge(history: DataFrame, incoming: DataFrame, load_date: DateLike) ->
 
     - unchanged, or absent from the load: the current version stays
     - changed: the current version is closed on the day before ``load_date`` and a new
-      version is opened, keyed by user and opening day
+      version is opened
     - changed again on the day it was opened: the open version is corrected in place
-    - new: opened at signup, keyed by user as in the first build
+    - new: opened at signup, as in the first build
 
-    ``incoming`` is a dimension built from the load (one current row per user).
+    All versions of a user have the user's key; a version is named by it and the day it was
+    opened. Facts and reports join by the key, so a change of attributes moves no activity.
+    ``incoming`` is a dimension built from the load; of several rows of one user the first by
+    its attributes counts, and rows without a user id are left out.
     """
     opened = day(load_date)
+    incoming = keep_first(incoming, "user_id", TRACKED)
     current = history.where("is_current").select(
         F.struct([F.col(c) for c in history.columns]).alias("old"),
         F.col("user_id").alias("_old_id"),
@@ -35,22 +40,11 @@ def scd2_merge(history: DataFrame, incoming: DataFrame, load_date: DateLike) ->
     for name in TRACKED:
         same = same & F.col(f"old.{name}").eqNullSafe(F.col(f"new.{name}"))
 
-    version_key = F.substring(
-        F.md5(F.concat_ws("|", F.col("new.user_id"), opened.cast("string"))), 1, 12
-    )
     closed = F.col("old").withField("effective_to", F.date_sub(opened, 1)).withField(
         "is_current", F.lit(False)
     )
-    reopened = (
-        F.col("new")
-        .withField("user_key", version_key)
-        .withField("effective_from", opened)
-    )
-    corrected = (
-        F.col("new")
-        .withField("user_key", F.col("old.user_key"))
-        .withField("effective_from", F.col("old.effective_from"))
-    )
+    reopened = F.col("new").withField("effective_from", opened)
+    corrected = F.col("new").withField("effective_from", F.col("old.effective_from"))
     versions = (
         F.when(F.col("_new_id").isNull(), F.array("old"))
         .when(F.col("_old_id").isNull(), F.array("new"))
@@ -60,3 +54,21 @@ def scd2_merge(history: DataFrame, incoming: DataFrame, load_date: DateLike) ->
     )
     merged = paired.select(F.explode(versions).alias("v")).select("v.*")
     return history.where("NOT is_current").unionByName(merged)
+
+
+def version_at(fact: DataFrame, history: DataFrame, *attributes: str) -> DataFrame:
+    """``fact`` with attributes (as ``user_<name>``) of the version valid on its day.
+
+    The first version also covers earlier days.
+    """
+    first = F.min("effective_from").over(Window.partitionBy("user_key"))
+    versions = history.select(
+        "user_key",
+        F.when(F.col("effective_from") > first, F.col("effective_from")).alias("_from"),
+        F.col("effective_to").alias("_to"),
+        *[F.col(a).alias(f"user_{a}") for a in attributes],
+    )
+    valid = (F.col("_from").isNull() | (F.col("date_key") >= F.col("_from"))) & (
+        F.col("_to").isNull() | (F.col("date_key") <= F.col("_to"))
+    )
+    return fact.join(versions, "user_key").where(valid).drop("_from", "_to")

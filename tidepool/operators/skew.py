@@ -5,17 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than this share of the rows. At most 1 / HOT_SHARE keys
-# can, so the list of hot keys has a fixed bound however large the data is. Adaptive
-# execution splits the partitions of the less frequent keys below it.
-HOT_SHARE = 0.002
+# A key is hot when it holds more than a fourth of a mean shuffle partition. At most four times
+# as many keys as partitions can, within these bounds, so the list of hot keys is bounded
+# however large the data is. Adaptive execution splits what is left.
+HOT_KEYS = (500, 40_000)
 # Sketches are merged in two steps: per group of tasks, then the groups.
 MERGE_GROUPS = 512
 
 
 def broadcast_limit(df: DataFrame) -> int:
     """The session's ``spark.sql.autoBroadcastJoinThreshold`` in bytes; -1 when switched off."""
-    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
+    number = text.rstrip("bkmgtp")
+    unit = text[len(number) : len(number) + 1]
+    return int(number) * 1024 ** " kmgtp".index(unit if unit not in ("", "b") else " ")
+
+
+def most_hot_keys(df: DataFrame) -> int:
+    """How many keys can be hot, from the number of shuffle partitions."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(4 * partitions, HOT_KEYS[0]), HOT_KEYS[1])
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -29,12 +38,12 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """The keys above HOT_SHARE, from one pass over the key column: at most 500 rows.
+    """The hot keys, from one pass over the key column: at most ``most_hot_keys`` rows.
 
     Each task keeps a sketch of the frequent keys, of fixed size. The counts are
     estimates. They only decide which rows get spread, never a result.
     """
-    top = int(1 / HOT_SHARE)
+    top = most_hot_keys(df)
     tracked = 8 * top
     group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
     sketches = (
@@ -73,8 +82,7 @@ def lookup(
     A right side within the broadcast limit is left to Catalyst. Beyond it both sides are
     shuffled, and the rows of hot (or null) keys are spread over all shuffle partitions
     by a hash of the ``spread`` column, against copies of the few matching right rows.
-    When a partition of the right side stays within the broadcast limit it is hashed, which
-    spares the much larger left side the sort.
+    Adaptive execution hashes partitions of the right side that turn out small enough.
 
     ``hot_from`` names a cheaper relation to find the hot keys in, such as the raw scan
     under ``left``.
@@ -105,6 +113,4 @@ def lookup(
         )
         .drop("_hot")
     )
-    if estimated_bytes(right) <= broadcast_limit(right) * salts:
-        salted_right = salted_right.hint("shuffle_hash")
     return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")

@@ -41,18 +41,22 @@ def _ctes(as_of: str, day: str) -> dict[str, tuple[list[str], str]]:
     return {
         "raw_users": (
             [],
-            f"SELECT {user_columns.replace('SEGMENT', segment)} WHERE c_custkey % 50 <> 49",
+            f"SELECT {user_columns.replace('SEGMENT', segment)}",
         ),
         "second_load": (
             [],
             "SELECT "
             + user_columns.replace(
                 "SEGMENT", f"CASE WHEN c_acctbal > 5000 THEN 'power' ELSE {segment} END"
-            ),
+            )
+            + f""" UNION ALL SELECT 'nation-' || n_nationkey, n_name, {_pick(AGE_GROUPS, 'n_nationkey')},
+                {_pick(DEVICES, 'n_nationkey')}, 'casual', DATE '2024-01-31',
+                {_pick(PLATFORM_KEYS, 'n_nationkey')} FROM nation""",
         ),
         "raw_events": (
             [],
-            f"""SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id,
+            f"""SELECT CAST(event_id AS VARCHAR) AS event_id,
+                CASE WHEN event_id % 50 = 49 THEN 'visitor-' || user_id ELSE CAST(user_id AS VARCHAR) END AS user_id,
                 CASE WHEN event_type = 'error' THEN 'error' ELSE {_pick(EVENT_TYPE_KEYS, k)} END AS event_type,
                 {_pick(PLATFORM_KEYS, f"({k} // 15)")} AS platform,
                 ts AS event_timestamp, n_name AS country,
@@ -272,7 +276,7 @@ def _suite() -> str:
     )
 
 
-def _bodies(as_of: str, start: str, day: str, load_date: str, weeks: list[int]) -> dict:
+def _bodies(as_of: str, start: str, day: str, load_date: str) -> dict:
     """query -> (CTEs it reads, SELECT)."""
 
     def pct(top, bottom, digits=2):
@@ -306,13 +310,10 @@ def _bodies(as_of: str, start: str, day: str, load_date: str, weeks: list[int])
         )
 
     def matrix(where, value):
-        cells = ", ".join(
-            f'max({value}) FILTER (weeks_since_signup = {k}) AS "Week {k}"' for k in weeks
-        )
         return (
             ["agg_retention_cohorts"],
-            f"""SELECT cohort_week, {cells} FROM agg_retention_cohorts
-                WHERE platform_key = {where} GROUP BY cohort_week""",
+            f"""SELECT cohort_week, 'Week ' || weeks_since_signup AS week, max({value}) AS rate
+                FROM agg_retention_cohorts WHERE platform_key = {where} GROUP BY ALL""",
         )
 
     def reached(event_type):
@@ -368,13 +369,21 @@ def _bodies(as_of: str, start: str, day: str, load_date: str, weeks: list[int])
                 SELECT o.user_key, o.user_id, {old}, o.effective_from, DATE '{load_date}' - 1, FALSE
                 FROM dim_users o JOIN second_load n USING (user_id) WHERE NOT ({same})
                 UNION ALL
-                SELECT left(md5(n.user_id || '|{load_date}'), 12), n.user_id, {new}, DATE '{load_date}', NULL, TRUE
+                SELECT left(md5(n.user_id), 12), n.user_id, {new}, DATE '{load_date}', NULL, TRUE
                 FROM dim_users o JOIN second_load n USING (user_id) WHERE NOT ({same})
                 UNION ALL
                 SELECT left(md5(n.user_id), 12), n.user_id, {new}, n.signup_date, NULL, TRUE
                 FROM second_load n ANTI JOIN dim_users o USING (user_id)""",
         ),
+        "daily_metrics_over_history": (["agg_daily_metrics"], "FROM agg_daily_metrics"),
+        "retention_over_history": (
+            ["second_load", "user_day"],
+            f"""SELECT user_segment, count(DISTINCT user_id) AS cohort_size, {retained(7)} AS retained,
+                {pct(retained(7), "count(DISTINCT user_id)")} AS retention_pct
+                FROM second_load LEFT JOIN user_day ON user_key = left(md5(user_id), 12) GROUP BY user_segment""",
+        ),
         "fct_events": (["fct_events"], "FROM fct_events"),
+        "incremental_facts": (["fct_events"], "FROM fct_events"),
         "unknown_user_events": (
             ["clean", "dim_users"],
             "SELECT count(*) AS unknown_user_events FROM clean ANTI JOIN dim_users USING (user_id)",
@@ -680,7 +689,7 @@ def _bodies(as_of: str, start: str, day: str, load_date: str, weeks: list[int])
     }
 
 
-def oracle_queries(as_of: str, start: str, day: str, load_date: str, weeks: list[int]) -> dict[str, str]:
+def oracle_queries(as_of: str, start: str, day: str, load_date: str) -> dict[str, str]:
     """query -> SQL text, each with the CTEs it needs in front."""
     ctes = _ctes(as_of, day)
 
@@ -702,5 +711,5 @@ def oracle_queries(as_of: str, start: str, day: str, load_date: str, weeks: list
 
     return {
         query: nested(names, body)
-        for query, (names, body) in _bodies(as_of, start, day, load_date, weeks).items()
+        for query, (names, body) in _bodies(as_of, start, day, load_date).items()
     }

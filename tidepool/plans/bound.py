@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.activity import user_activity
-from ..operators.dedup import RepeatedKeys, repeated_keys
+from ..operators.dedup import repeated_keys
 from ..sources import binding, seeds
 from ..sources.scratch import application_dir
 from ..sources.warehouse import Warehouse, fact_date_bounds
@@ -26,6 +28,7 @@ class BoundWarehouse:
         self.as_of = as_of
         self.report_date = report_date
         self.warehouse = Warehouse(spark, root)
+        self._lock = threading.RLock()
         self._builders = {
             "dim_users": self._users,
             "fct_events": self.new_facts,
@@ -39,11 +42,12 @@ class BoundWarehouse:
         }
 
     def __getitem__(self, table: str) -> DataFrame:
-        if not self.warehouse.exists(table):
-            self.warehouse.replace(table, self._builders[table]())
+        with self._lock:  # one thread builds a table, others wait for it
+            if not self.warehouse.exists(table):
+                self.warehouse.replace(table, self._builders[table]())
         return self.warehouse.read(table)
 
-    def _raw(self) -> tuple[DataFrame, RepeatedKeys | None]:
+    def _raw(self) -> tuple[DataFrame, DataFrame]:
         """Raw events, and which of their ids repeat, from a scan of the ids alone."""
         ids = binding.event_ids(self.spark, self.sf_dir)
         return binding.raw_events(self.spark, self.sf_dir), repeated_keys(ids, "event_id")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import DateLike, count_where, day, moment, ratio, rounded, shift_day
 from ..operators.activity import COUNTED_TYPES, per_user
-from ..operators.dedup import RepeatedKeys, keep_first
+from ..operators.dedup import keep_first
 from ..operators.skew import lookup
 from ..schemas import TABLES, columns
 from ..sources.seeds import EVENT_TYPE_KEYS
@@ -27,7 +27,7 @@ FIRST_BY = [
 ]
 
 
-def _first_events(events: DataFrame, repeated: RepeatedKeys | None = None) -> DataFrame:
+def _first_events(events: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """Typed events, one row per event id."""
     typed = events.withColumn("event_timestamp", F.col("event_timestamp").try_cast("timestamp_ntz"))
     return keep_first(typed, "event_id", FIRST_BY, repeated)
@@ -46,7 +46,7 @@ def _defects(as_of: dt.datetime | str | None) -> dict[str, Column]:
 def clean_events(
     events: DataFrame,
     as_of: dt.datetime | str | None = None,
-    repeated: RepeatedKeys | None = None,
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
     """De-duplicate, then drop events with null keys, bad times, unknown types or future times.
 
@@ -63,7 +63,7 @@ def clean_events(
 def clean_report(
     events: DataFrame,
     as_of: dt.datetime | str | None = None,
-    repeated: RepeatedKeys | None = None,
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
     """One row counting what ``clean_events`` reads, removes by reason, and keeps."""
     raw = events.agg(
@@ -113,31 +113,16 @@ def build_user_dimension(users: DataFrame) -> DataFrame:
 def build_fact_events(
     events: DataFrame,
     users: DataFrame,
-    point_in_time: bool = False,
     hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Clean events with resolved keys; events of unknown users are dropped.
 
-    Events take the key of the user's current version, or with ``point_in_time`` that of
-    the version valid on the event's day (the first version also covers earlier days).
+    The key is the user's, whatever the version (see ``operators.scd2``).
     """
     events = events.withColumn("date_key", F.to_date("event_timestamp"))
-    if point_in_time:
-        first = F.min("effective_from").over(Window.partitionBy("user_id"))
-        versions = users.select(
-            "user_id",
-            "user_key",
-            F.when(F.col("effective_from") > first, F.col("effective_from")).alias("_from"),
-            F.col("effective_to").alias("_to"),
-        )
-        valid = (F.col("_from").isNull() | (F.col("date_key") >= F.col("_from"))) & (
-            F.col("_to").isNull() | (F.col("date_key") <= F.col("_to"))
-        )
-    else:
-        versions = users.where("is_current").select("user_id", "user_key")
-        valid = F.lit(True)
+    versions = users.where("is_current").select("user_id", "user_key")
     resolved = lookup(events, versions, "user_id", "inner", spread="event_id", hot_from=hot_from)
-    return resolved.where(valid).select(
+    return resolved.select(
         "event_id",
         "event_timestamp",
         "date_key",
@@ -174,6 +159,7 @@ def daily_metrics(
     rows without a platform and reports an average of 0.
     """
     grain = ["date_key", "platform_key"]
+    users = users.where("is_current")
     signups = users.select("user_key", "signup_date")
     sessions = fact.where("session_id IS NOT NULL")
     if etl_form:

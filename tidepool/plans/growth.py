@@ -109,7 +109,9 @@ def churned_exact(activity: DataFrame) -> DataFrame:
     tomorrow = F.date_add("date_key", 1)
     left = (
         per_user(activity, "date_key", "platform_key")
-        .withColumn("_left", F.coalesce(following != tomorrow, F.lit(True)))
+        .withColumn(
+            "_left", F.col("user_key").isNotNull() & F.coalesce(following != tomorrow, F.lit(True))
+        )
         .groupBy("date_key", "platform_key")
         .agg(count_where(F.col("_left")).alias("churned_users"))
     )
@@ -131,7 +133,9 @@ STEPS = {
 
 
 def _reached() -> list:
-    return [count_where(F.col(events) > 0).alias(step) for step, events in STEPS.items()]
+    """Users who reached each step; activity without a user counts for none."""
+    known = F.col("user_key").isNotNull()
+    return [count_where(known & (F.col(events) > 0)).alias(step) for step, events in STEPS.items()]
 
 
 def _folded_to_users(activity: DataFrame, *grain: str) -> DataFrame:

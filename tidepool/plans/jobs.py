@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import time
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -11,12 +13,17 @@ from pyspark.sql import functions as F
 from ..functions import DateLike, day
 from ..operators.activity import user_activity
 from ..operators.dedup import repeated_keys
+from ..operators.scd2 import scd2_merge
 from ..schemas import TABLES
 from ..sources import raw as raw_source
 from ..sources import seeds
+from ..sources.scratch import written
 from ..sources.warehouse import Warehouse, fact_date_bounds
 from . import etl, quality
 
+# Tables that the jobs compute from others.
+DERIVED = ["user_activity", "agg_daily_metrics", "agg_user_engagement", "agg_retention_cohorts"]
+
 
 def _counted(df: DataFrame, counts: dict[str, Observation], name: str) -> DataFrame:
     """Count rows as they pass through the job that writes them."""
@@ -28,20 +35,30 @@ def _rows(counts: dict[str, Observation]) -> dict[str, int]:
     return {name: observation.get["rows"] for name, observation in counts.items()}
 
 
+def _staged(events: DataFrame) -> DataFrame:
+    """Typed raw events with an id, by the raw day that delivered them.
+
+    Events that come without ``source_date`` count as delivered on their own day.
+    """
+    typed = events.withColumn("event_timestamp", F.col("event_timestamp").try_cast("timestamp_ntz"))
+    if "source_date" not in typed.columns:
+        own = F.coalesce(F.to_date("event_timestamp"), F.lit("1970-01-01").cast("date"))
+        typed = typed.withColumn("source_date", own)
+    return typed.where("event_id IS NOT NULL")
+
+
 def _load_facts(
-    warehouse: Warehouse,
-    events: DataFrame,
-    users: DataFrame,
-    as_of: dt.datetime | str | None,
-    write,
+    warehouse: Warehouse, events: DataFrame, users: DataFrame, as_of: dt.datetime | str | None
 ) -> dict[str, int]:
-    """Clean, resolve and write events in one job; returns the row counts on the way."""
+    """Stage, clean, resolve and write all events; returns the row counts on the way."""
     counts: dict[str, Observation] = {}
-    repeated = repeated_keys(events, "event_id")
-    clean = _counted(etl.clean_events(events, as_of, repeated), counts, "clean_events")
-    fact = etl.build_fact_events(clean, users, hot_from=events)
-    write(_counted(fact, counts, "fact_events"))
-    rows = {"events": events.count(), **_rows(counts)}
+    warehouse.replace("stg_events", _staged(_counted(events, counts, "events")))
+    staged = warehouse.read("stg_events").drop("source_date")
+    repeated = repeated_keys(staged, "event_id")
+    clean = _counted(etl.clean_events(staged, as_of, repeated), counts, "clean_events")
+    fact = etl.build_fact_events(clean, users, hot_from=staged)
+    warehouse.replace("fct_events", _counted(fact, counts, "fact_events"))
+    rows = _rows(counts)
     rows["unknown_user_events"] = rows["clean_events"] - rows["fact_events"]
     return rows
 
@@ -111,7 +128,6 @@ def refresh(
         events,
         warehouse.read("dim_users"),
         as_of,
-        lambda fact: warehouse.replace("fct_events", fact),
     )
     build_activity(warehouse)
     build_daily_metrics(warehouse)
@@ -138,73 +154,131 @@ def run_full(
     """``refresh`` from a raw folder."""
     spark = warehouse.spark
     users = raw_source.extract_users(spark, raw_dir)
-    events = raw_source.extract_events(spark, raw_dir)
+    events = raw_source.extract_events(spark, raw_dir, with_source=True)
     return refresh(warehouse, users, events, as_of, calendar)
 
 
-def _load_day(
-    warehouse: Warehouse, raw_dir: str, date: DateLike, as_of: dt.datetime | str | None
-) -> dict[str, int]:
-    events = raw_source.extract_events_for_date(warehouse.spark, raw_dir, date)
-    users = warehouse.read("dim_users")
-    clean = etl.clean_events(events, as_of, repeated_keys(events, "event_id"))
-    # Read twice below: for the day itself and for events that belong to other days.
-    fact = etl.build_fact_events(clean, users, hot_from=events).persist()
-    warehouse.load_facts(fact, date)
-    fact.unpersist()
-    return {"fact_events": warehouse.fact(date, date).count()}
-
-
-def _refresh_day(warehouse: Warehouse, date: DateLike) -> None:
-    """Recompute one day of the activity and daily metrics from that day's facts."""
-    fact = warehouse.fact(date, date)
-    activity = user_activity(fact, warehouse.read("dim_event_type"))
-    warehouse.replace_day("user_activity", activity, date)
+def _days(*frames: DataFrame) -> list[dt.date]:
+    """The distinct values of one-column frames of dates; as many as there are days."""
+    both = frames[0]
+    for frame in frames[1:]:
+        both = both.union(frame)
+    return sorted(row[0] for row in both.distinct().collect() if row[0] is not None)
+
+
+def load_days(
+    warehouse: Warehouse,
+    raw_dir: str,
+    dates: Sequence[DateLike],
+    as_of: dt.datetime | str | None = None,
+    copies_within: int | None = None,
+) -> list[dt.date]:
+    """Load raw days, again or for the first time; returns the event days whose facts changed.
+
+    After it the facts are those of a full run over all raw days loaded so far, in whatever
+    order and however often: the events of the given days, before and after, are compared
+    with their copies in other raw days and the first of each id is taken anew. Copies are
+    looked for in all raw days, or only in those within ``copies_within`` days. Only event
+    days that such an event belongs to are written, in one go.
+    """
+    dates = [dt.date.fromisoformat(str(d)) for d in dates]
+    chosen = F.col("source_date").isin([day(d) for d in dates])
+    event_day = F.to_date("event_timestamp").alias("event_day")
+    events = raw_source.extract_events(warehouse.spark, raw_dir, min(dates), max(dates), with_source=True)
+    new = _staged(events).where(chosen)
+    before = warehouse.read("stg_events").where(chosen)
+    looked_at = written(before.select("event_id", event_day).union(new.select("event_id", event_day)).distinct())
+    ids = looked_at.select("event_id").distinct()
+    warehouse.replace_days("stg_events", new, dates)
+
+    staged = warehouse.read("stg_events")
+    others = staged.where(~chosen)
+    if copies_within is not None:
+        near = [F.abs(F.datediff("source_date", day(d))) <= copies_within for d in dates]
+        others = others.where(functools.reduce(lambda a, b: a | b, near))
+    # a scan of two columns finds the raw days with copies; mostly there are none
+    copied = _days(others.select("event_id", "source_date").join(ids, "event_id", "left_semi").select("source_date"))
+    involved = staged.where(F.col("source_date").isin([day(d) for d in [*dates, *copied]]))
+    rows = involved.join(ids, "event_id", "left_semi").drop("source_date")
+    clean = etl.clean_events(rows, as_of, repeated_keys(rows, "event_id"))
+    fact = written(etl.build_fact_events(clean, warehouse.read("dim_users"), hot_from=rows))
+
+    possible = set(_days(rows.select(event_day), looked_at.select("event_day"))) & set(warehouse.days("fct_events"))
+    present = warehouse.read("fct_events").where(F.col("date_key").isin([day(d) for d in sorted(possible)]))
+    replaced = present.join(ids, "event_id", "left_semi").select("date_key")
+    touched = _days(replaced, fact.select("date_key"))
+    if touched:
+        kept = warehouse.read("fct_events").where(F.col("date_key").isin([day(d) for d in touched]))
+        kept = kept.join(ids, "event_id", "left_anti")
+        warehouse.replace_days("fct_events", kept.unionByName(fact.select(kept.columns)), touched)
+    return touched
+
+
+def _refresh_days(warehouse: Warehouse, dates: list[dt.date]) -> None:
+    """Recompute days of the activity and daily metrics from their facts, one job each."""
+    if not dates:
+        return
+    within = F.col("date_key").isin([day(d) for d in dates])
+    fact = warehouse.read("fct_events").where(within)
+    warehouse.replace_days("user_activity", user_activity(fact, warehouse.read("dim_event_type")), dates)
     metrics = etl.daily_metrics(
-        warehouse.activity(date, date), fact, warehouse.read("dim_users"), etl_form=True
+        warehouse.read("user_activity").where(within), fact, warehouse.read("dim_users"), etl_form=True
     )
-    warehouse.replace_dates("agg_daily_metrics", metrics, [date])
+    warehouse.replace_dates("agg_daily_metrics", metrics, dates)
 
 
-def _touched_days(warehouse: Warehouse, raw_dir: str, date: DateLike) -> list[DateLike]:
-    """The day itself and any other day its raw folder has events for."""
-    events = raw_source.extract_events_for_date(warehouse.spark, raw_dir, date)
-    stamp = F.to_date(F.col("event_timestamp"))
-    others = events.select(stamp.alias("d")).where(stamp != day(date)).distinct().collect()
-    return [date, *[row["d"] for row in others]]
+def merge_users(warehouse: Warehouse, users: DataFrame, date: DateLike) -> None:
+    """Merge a users load into the history of the user dimension."""
+    load = etl.build_user_dimension(users)
+    warehouse.replace("dim_users", scd2_merge(warehouse.read("dim_users"), load, date))
 
 
 def run_incremental(
-    warehouse: Warehouse, raw_dir: str, date: DateLike, as_of: dt.datetime | str | None = None
+    warehouse: Warehouse,
+    raw_dir: str,
+    date: DateLike,
+    as_of: dt.datetime | str | None = None,
+    users: DataFrame | None = None,
 ) -> dict:
-    """Reload one day's facts and its aggregates; running it again changes nothing."""
+    """Load one raw day, and users if given, and refresh the aggregates of the days it changed.
+
+    Running it again changes nothing, and the order of days doesn't matter.
+    """
     started = time.monotonic()
-    rows = _load_day(warehouse, raw_dir, date, as_of)
-    for touched in _touched_days(warehouse, raw_dir, date):
-        _refresh_day(warehouse, touched)
+    if users is not None:
+        merge_users(warehouse, users, date)
+    _refresh_days(warehouse, load_days(warehouse, raw_dir, [date], as_of))
     return {
         "pipeline": "incremental",
         "date": str(date),
-        "events_processed": rows["fact_events"],
+        "events_processed": warehouse.fact(date, date).count(),
         "elapsed_seconds": round(time.monotonic() - started, 2),
         "status": "success",
     }
 
 
 def run_daily(
-    warehouse: Warehouse, raw_dir: str, date: DateLike, as_of: dt.datetime | str | None = None
+    warehouse: Warehouse,
+    raw_dir: str,
+    date: DateLike,
+    as_of: dt.datetime | str | None = None,
+    users: DataFrame | None = None,
 ) -> dict:
-    """Load one day, check the warehouse, and refresh aggregates only when nothing fails."""
-    rows = _load_day(warehouse, raw_dir, date, as_of)
+    """Load one day, check the warehouse, and refresh aggregates only when nothing fails.
+
+    The gate looks at loaded tables; those that it lets be built are not held against it.
+    """
+    if users is not None:
+        merge_users(warehouse, users, date)
+    touched = load_days(warehouse, raw_dir, [date], as_of)
     checks = quality.run_checks(_tables(warehouse))
-    branch = quality.quality_gate(checks)
+    branch = quality.quality_gate(checks.where(~F.col("table_name").isin(DERIVED)))
     if branch == "build_aggregates":
-        for touched in _touched_days(warehouse, raw_dir, date):
-            _refresh_day(warehouse, touched)
+        _refresh_days(warehouse, touched)
     return {
         "pipeline": "daily",
         "date": str(date),
-        "events_processed": rows["fact_events"],
+        "events_processed": warehouse.fact(date, date).count(),
         "branch": branch,
         "aggregates_built": branch == "build_aggregates",
     }

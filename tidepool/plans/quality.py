@@ -226,7 +226,8 @@ def _rows(measured: DataFrame, *verdicts: Column) -> DataFrame:
 
 def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
     """The warehouse suite: 17 checks over facts, dimensions and daily metrics."""
-    fact, users, daily = tables["fct_events"], tables["dim_users"], tables["agg_daily_metrics"]
+    fact, daily = tables["fct_events"], tables["agg_daily_metrics"]
+    users = tables["dim_users"].where("is_current")
     n = F.col("n")
     required = ["user_key", "event_type_key", "date_key"]
 

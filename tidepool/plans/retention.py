@@ -94,6 +94,14 @@ def _matrix(cohorts: DataFrame, weeks: list[int] | None, value: Column) -> DataF
     return cohorts.groupBy("cohort_week").agg(*cells) if cells else cohorts.select("cohort_week")
 
 
+def matrix_rows(matrix: DataFrame) -> DataFrame:
+    """A matrix as rows (cohort_week, week, rate), for all its weeks."""
+    weeks = [c for c in matrix.columns if c != "cohort_week"]
+    if not weeks:
+        return matrix.select("cohort_week", F.lit("").alias("week"), F.lit(0.0).alias("rate")).where("false")
+    return matrix.unpivot("cohort_week", weeks, "week", "rate").where("rate IS NOT NULL")
+
+
 def retention_matrix(cohorts: DataFrame, weeks: list[int] | None = None) -> DataFrame:
     """Retention rates of the platform with the most cohort members."""
     largest = (

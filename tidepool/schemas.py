@@ -32,6 +32,8 @@ TABLES = {
         platform_key string, event_type_key string, session_id string, country string,
         device_type string, event_count int, _partition_date date
     """,
+    # Typed raw events by the raw day that delivered them: what incremental loads compare.
+    "stg_events": f"{RAW_EVENTS}, source_date date",
     # The fact table folded to one row per user, day and platform. Every user-level
     # metric reads this instead of the events themselves.
     "user_activity": """
@@ -59,7 +61,11 @@ TABLES = {
 }
 
 # Tables stored in one folder per day, with the column that names the folder.
-PARTITION_COLUMN = {"fct_events": "_partition_date", "user_activity": "date_key"}
+PARTITION_COLUMN = {
+    "fct_events": "_partition_date",
+    "stg_events": "source_date",
+    "user_activity": "date_key",
+}
 
 
 def columns(ddl: str) -> list[tuple[str, str]]:

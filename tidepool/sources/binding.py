@@ -1,8 +1,8 @@
 """Raw users and events derived from the ``customer``, ``nation`` and ``events`` tables.
 
 The two relations stand in for a raw drop with its usual defects: ``error`` events play
-the unknown event type, and customers whose key ends a block of 50 never registered, so
-their events have an unknown user.
+the unknown event type, and events whose id ends a block of 50 come from visitors that no
+users load knows. Every customer is a user; a later load adds a user per nation.
 """
 
 from __future__ import annotations
@@ -60,13 +60,23 @@ def all_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The registered users."""
-    return all_users(spark, sf_dir).where("CAST(user_id AS BIGINT) % 50 <> 49").drop("c_acctbal")
+    return all_users(spark, sf_dir).drop("c_acctbal")
 
 
 def second_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A later users load: everyone registered, and wealthy customers became power users."""
+    """A later users load: wealthy customers became power users, and new users joined."""
     segment = F.when(F.col("c_acctbal") > 5000, "power").otherwise(F.col("user_segment"))
-    return all_users(spark, sf_dir).withColumn("user_segment", segment).drop("c_acctbal")
+    known = all_users(spark, sf_dir).withColumn("user_segment", segment).drop("c_acctbal")
+    new = _table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("nation-"), F.col("n_nationkey").cast("string")).alias("user_id"),
+        F.col("n_name").alias("country"),
+        _pick(AGE_GROUPS, F.col("n_nationkey")).alias("age_group"),
+        _pick(DEVICES, F.col("n_nationkey")).alias("device_type"),
+        F.lit("casual").alias("user_segment"),
+        F.lit("2024-01-31").cast("date").alias("signup_date"),
+        _pick(PLATFORM_KEYS, F.col("n_nationkey")).alias("primary_platform"),
+    )
+    return known.unionByName(new)
 
 
 def event_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,11 +102,12 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     k = F.col("k")
     user = F.col("user_id").cast("string")
+    visitor = F.when(F.col("event_id") % 50 == 49, F.concat(F.lit("visitor-"), user)).otherwise(user)
     # yyyyMMddHH cut from the text form, which knows no time zone.
     hour = F.translate(F.substring(F.col("ts").cast("string"), 1, 13), "- ", "")
     return located.select(
         F.col("event_id").cast("string").alias("event_id"),
-        user.alias("user_id"),
+        visitor.alias("user_id"),
         F.when(F.col("event_type") == "error", "error")
         .otherwise(_pick(EVENT_TYPE_KEYS, k))
         .alias("event_type"),
@@ -106,3 +117,19 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pick(DEVICES, F.col("user_id")).alias("device_type"),
         F.concat(user, F.lit("_"), hour).alias("session_id"),
     )
+
+
+def delivered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw events as they are delivered: column ``delivered`` is the raw day.
+
+    Some come a day early or late, and some again on the next day with a later time.
+    """
+    events = raw_events(spark, sf_dir)
+    number = F.coalesce(F.col("event_id").cast("long"), F.lit(0))
+    own = F.coalesce(F.col("event_timestamp"), F.lit("2024-01-01").cast("timestamp_ntz")).cast("date")
+    shift = F.when(number % 17 == 0, 1).when(number % 19 == 0, -1).otherwise(0)
+    day_later = F.expr("event_timestamp + INTERVAL 1 DAY")
+    again = events.where(number % 23 == 0).select(
+        "*", F.date_add(own, 1).alias("delivered")
+    ).withColumn("event_timestamp", day_later)
+    return events.withColumn("delivered", F.date_add(own, shift)).unionByName(again)

@@ -1,20 +1,61 @@
-"""Raw input: a users file and events in ``dt=YYYY-MM-DD`` folders, both Parquet."""
+"""Raw input: a users file and events in ``dt=YYYY-MM-DD`` folders, both Parquet.
+
+Writers store times in several ways: as microseconds, as nanoseconds or as text. All are read
+to a time without zone; text that is no time becomes null, which cleaning then counts.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..functions import DateLike, between_days
+from ..functions import DateLike
 from ..schemas import RAW_EVENTS, RAW_USERS, columns
 
+_NANOS = "spark.sql.legacy.parquet.nanosAsLong"
+
+
+def _time(name: str, stored: str) -> Column:
+    """A column of times, stored as ``stored``, without zone."""
+    if stored == "bigint":  # nanoseconds since 1970
+        return F.expr(
+            "timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, "
+            f"CAST(floor(CAST(`{name}` AS DECIMAL(20,0)) / 1000) AS DECIMAL(17,0)) / 1000000)"
+        )
+    return F.col(name).try_cast("timestamp_ntz")
+
+
+def _conformed(df: DataFrame, ddl: str) -> DataFrame:
+    """The declared columns with their types, whatever encoding of times the files have."""
+    stored = dict(df.dtypes)
+    return df.select(
+        [
+            (_time(name, stored[name]) if kind == "timestamp_ntz" else F.col(name).cast(kind)).alias(name)
+            for name, kind in columns(ddl)
+        ]
+    )
+
+
+def _reader(spark: SparkSession):
+    spark.conf.set(_NANOS, "true")  # Spark has no type for nanoseconds
+    return spark.read
+
 
 def extract_users(spark: SparkSession, raw_dir: str) -> DataFrame:
     """All users. Spark raises PATH_NOT_FOUND when the file is missing."""
-    return spark.read.schema(RAW_USERS).parquet(f"{raw_dir}/users.parquet")
+    return _conformed(_reader(spark).parquet(f"{raw_dir}/users.parquet"), RAW_USERS)
 
 
-def _partitioned_events(spark: SparkSession, raw_dir: str) -> DataFrame:
-    return spark.read.schema(f"{RAW_EVENTS}, dt date").parquet(f"{raw_dir}/events")
+def available_dates(spark: SparkSession, raw_dir: str) -> list[dt.date]:
+    """The days that have a folder, from the folders' names; no file is opened or listed."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{raw_dir}/events")
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        raise FileNotFoundError(f"{raw_dir}/events")
+    names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
+    return sorted(dt.date.fromisoformat(n.removeprefix("dt=")) for n in names if n.startswith("dt="))
 
 
 def extract_events(
@@ -22,10 +63,23 @@ def extract_events(
     raw_dir: str,
     start: DateLike | None = None,
     end: DateLike | None = None,
+    with_source: bool = False,
 ) -> DataFrame:
-    """Events of an inclusive date range; only the matching folders are read."""
-    events = between_days(_partitioned_events(spark, raw_dir), "dt", start, end)
-    return events.select([name for name, _ in columns(RAW_EVENTS)])
+    """Events of an inclusive date range; only the matching folders are listed and read.
+
+    ``with_source`` adds the folder's day as ``source_date``.
+    """
+    days = [
+        d
+        for d in available_dates(spark, raw_dir)
+        if (start is None or str(d) >= str(start)) and (end is None or str(d) <= str(end))
+    ]
+    ddl = f"{RAW_EVENTS}, source_date date" if with_source else RAW_EVENTS
+    if not days:
+        return spark.createDataFrame([], ddl)
+    paths = [f"{raw_dir}/events/dt={d}" for d in days]
+    found = _reader(spark).option("basePath", f"{raw_dir}/events").parquet(*paths)
+    return _conformed(found.withColumnRenamed("dt", "source_date"), ddl)
 
 
 def extract_events_for_date(spark: SparkSession, raw_dir: str, date: DateLike) -> DataFrame:
@@ -33,18 +87,19 @@ def extract_events_for_date(spark: SparkSession, raw_dir: str, date: DateLike) -
 
 
 def list_available_dates(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """The days that have a folder, sorted. Reads no data column."""
-    return _partitioned_events(spark, raw_dir).select("dt").distinct().orderBy("dt")
+    """The days that have a folder, sorted; also those whose files have no rows."""
+    return spark.createDataFrame([(d,) for d in available_dates(spark, raw_dir)], "dt date").orderBy("dt")
 
 
 def write_users(users: DataFrame, raw_dir: str) -> None:
     users.write.mode("overwrite").option("compression", "snappy").parquet(f"{raw_dir}/users.parquet")
 
 
-def write_events(events: DataFrame, raw_dir: str) -> None:
-    """Write events by day. Rebalancing gives each day few files, and a large day several."""
+def write_events(events: DataFrame, raw_dir: str, by: str = "event_timestamp") -> None:
+    """Write events by the day of ``by``. Rebalancing gives each day few files, and a large
+    day several."""
     (
-        events.withColumn("dt", events["event_timestamp"].cast("date"))
+        events.withColumn("dt", F.col(by).try_cast("timestamp_ntz").cast("date"))
         .hint("rebalance", "dt")
         .write.mode("overwrite")
         .partitionBy("dt")

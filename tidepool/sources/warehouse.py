@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import functools
 from collections.abc import Iterable
 
@@ -39,11 +40,29 @@ class Warehouse:
         return fs.exists(path)
 
     def _finish_swap(self, table: str) -> None:
-        """Complete a swap that was cut off between removing the old folder and renaming."""
+        """Complete a swap that was cut off on the way, of the whole table or of days."""
         fs, target = self._path(self.path(table))
         _, done = self._path(f"{self.path(table)}__next/_SUCCESS")
         if not fs.exists(target) and fs.exists(done):
             fs.rename(done.getParent(), target)
+        self._finish_days(table)
+
+    def _finish_days(self, table: str) -> None:
+        """Move staged day folders into place, once all of them are complete."""
+        fs, ready = self._path(f"{self.path(table)}__days/_READY")
+        if not fs.exists(ready):
+            return
+        for status in fs.listStatus(ready.getParent()):
+            if not status.isDirectory():
+                continue
+            staged = status.getPath()
+            _, target = self._path(f"{self.path(table)}/{staged.getName()}")
+            fs.delete(target, True)
+            if len(fs.listStatus(staged)):  # an empty folder stands for a day without rows
+                fs.mkdirs(target.getParent())
+                if not fs.rename(staged, target):
+                    raise OSError(f"could not move {staged.getName()} of {table} into place")
+        fs.delete(ready.getParent(), True)
 
     def _swap(self, table: str) -> None:
         fs, target = self._path(self.path(table))
@@ -93,7 +112,8 @@ class Warehouse:
         folder = PARTITION_COLUMN.get(table)
         if folder is None:
             return df.write.mode(mode)
-        df = df.hint("rebalance", folder).sortWithinPartitions(folder, "user_key")
+        order = [c for c in (folder, "user_key") if c in df.columns]
+        df = df.hint("rebalance", folder).sortWithinPartitions(*order)
         return df.write.mode(mode).partitionBy(folder)
 
     def replace(self, table: str, df: DataFrame) -> None:
@@ -125,20 +145,46 @@ class Warehouse:
         else:
             raise ValueError(f"unknown mode {mode!r}")
 
-    def replace_day(self, table: str, df: DataFrame, date: DateLike) -> None:
-        """Make ``df`` the whole content of one day's folder, even when it is empty.
+    def days(self, table: str) -> list[dt.date]:
+        """The days that have a folder, from the folders' names."""
+        if not self.exists(table):
+            return []
+        fs, path = self._path(self.path(table))
+        names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
+        return sorted(dt.date.fromisoformat(n.partition("=")[2]) for n in names if "=" in n)
+
+    def replace_days(self, table: str, df: DataFrame, dates: Iterable[DateLike]) -> None:
+        """Make ``df`` the whole content of the folders of ``dates``, even of empty ones.
 
-        A dynamic partition overwrite would leave the old rows of a day that is now empty.
+        One write puts all days next to the table, and only when it is complete do they
+        replace the old folders; a failed load leaves them as they were. A row of another
+        day makes the load fail instead of being lost.
         """
         folder = PARTITION_COLUMN[table]
-        rows = self._conform(df, table).where(F.col(folder) == day(date)).drop(folder)
+        dates = [dt.date.fromisoformat(str(d)) for d in dates]
+        rows = self._conform(df, table)
+        if dates:
+            known = F.col(folder).isin([day(d) for d in dates])
+            stray = F.raise_error(F.concat(F.lit("row of another day: "), F.coalesce(F.col(folder).cast("string"), F.lit("none"))))
+            rows = rows.withColumn(folder, F.when(known, F.col(folder)).otherwise(stray.cast("date")))
         self._finish_swap(table)
+        staged = f"{self.path(table)}__days"
+        order = [c for c in (folder, "user_key") if c in rows.columns]
         (
-            rows.hint("rebalance")
-            .sortWithinPartitions("user_key")
+            rows.hint("rebalance", folder)
+            .sortWithinPartitions(*order)
             .write.mode("overwrite")
-            .parquet(f"{self.path(table)}/{folder}={date}")
+            .partitionBy(folder)
+            .parquet(staged)
         )
+        fs, root = self._path(staged)
+        for d in dates:
+            fs.mkdirs(self._path(f"{staged}/{folder}={d}")[1])
+        fs.create(self._path(f"{staged}/_READY")[1], True).close()
+        self._finish_days(table)
+
+    def replace_day(self, table: str, df: DataFrame, date: DateLike) -> None:
+        self.replace_days(table, df, [date])
 
     def replace_dates(self, table: str, df: DataFrame, dates: Iterable[DateLike]) -> None:
         """Replace whole dates of a small, unpartitioned table keyed by ``date_key``."""
@@ -146,19 +192,11 @@ class Warehouse:
         self.replace(table, kept.unionByName(df.select(kept.columns)))
 
     def load_facts(self, df: DataFrame, partition_date: DateLike | None = None) -> None:
-        """Append facts, or replace one day first when ``partition_date`` is given.
-
-        Rows of a one-day load that belong to another day are added there unless their
-        event is already present, so loading the same day twice changes nothing.
-        """
+        """Append facts, or make them the whole content of one day."""
         if partition_date is None:
             self.append("fct_events", df)
-            return
-        self.replace_day("fct_events", df, partition_date)
-        strays = df.where(F.col("date_key") != day(partition_date))
-        if not strays.isEmpty():
-            known = self.fact().select("date_key", "event_id")
-            self.append("fct_events", strays.join(known, ["date_key", "event_id"], "left_anti"))
+        else:
+            self.replace_day("fct_events", df, partition_date)
 
     # -- inspection --------------------------------------------------------------
 
