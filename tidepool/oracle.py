@@ -220,12 +220,12 @@ def _suite() -> str:
     def row_count(table, minimum):
         return f"""SELECT 'row_count' AS check_name, '{table}' AS table_name, 'critical' AS severity,
             CASE WHEN count(*) >= {minimum} THEN 'passed' ELSE 'failed' END AS status,
-            format('Row count: {{:,}} (minimum: {minimum:,})', count(*)) AS message FROM {table}"""
+            format('{{:,}} rows, {minimum:,} or more expected', count(*)) AS message FROM {table}"""
 
     def unique(table, column):
         return f"""SELECT 'uniqueness_{column}', '{table}', 'critical',
             CASE WHEN count(*) = count(DISTINCT {column}) THEN 'passed' ELSE 'failed' END,
-            format('Duplicates: {{:,}} out of {{:,}} rows', count(*) - count(DISTINCT {column}), count(*))
+            format('{{:,}} of {{:,}} rows repeat a value', count(*) - count(DISTINCT {column}), count(*))
             FROM {table}"""
 
     def null_rate(table, column):
@@ -233,13 +233,13 @@ def _suite() -> str:
         return f"""SELECT 'null_rate_{column}', '{table}',
             CASE WHEN count(*) = 0 THEN 'warning' ELSE 'critical' END,
             CASE WHEN count(*) = 0 THEN 'skipped' WHEN {rate} <= 0.01 THEN 'passed' ELSE 'failed' END,
-            CASE WHEN count(*) = 0 THEN 'Table {table} is empty'
-                 ELSE printf('Null rate: %.4f%% (threshold: 1.00%%)', 100 * {rate}) END FROM {table}"""
+            CASE WHEN count(*) = 0 THEN '{table} has no rows'
+                 ELSE printf('%.4f%% of the values are missing, up to 1.00%% allowed', 100 * {rate}) END FROM {table}"""
 
     def integrity(key, dim):
         return f"""SELECT 'ref_integrity_{key}', 'fct_events', 'critical',
             CASE WHEN count(*) FILTER (d.{key} IS NULL) = 0 THEN 'passed' ELSE 'failed' END,
-            format('Orphaned keys: {{:,}} out of {{:,}} distinct keys',
+            format('{{:,}} of {{:,}} keys are not in the dimension',
                    count(*) FILTER (d.{key} IS NULL), count(*))
             FROM (SELECT DISTINCT {key} FROM fct_events WHERE {key} IS NOT NULL) f
             LEFT JOIN (SELECT DISTINCT {key} FROM {dim}) d ON f.{key} = d.{key}"""
@@ -249,10 +249,10 @@ def _suite() -> str:
         above = f"max({column}) > {high}" if high is not None else "FALSE"
         return f"""SELECT 'value_range_{column}', 'agg_daily_metrics', 'warning',
             CASE WHEN {below} OR {above} THEN 'failed' ELSE 'passed' END,
-            'Range [' || coalesce(min({column})::VARCHAR, 'None') || ', '
-              || coalesce(max({column})::VARCHAR, 'None') || '] — ' || coalesce(nullif(concat_ws('; ',
-                CASE WHEN {below} THEN 'min=' || min({column}) || ' < expected_min={low}' END,
-                CASE WHEN {above} THEN 'max=' || max({column}) || ' > expected_max={high}' END), ''), 'OK')
+            'values from ' || coalesce(min({column})::VARCHAR, 'nothing') || ' to '
+              || coalesce(max({column})::VARCHAR, 'nothing') || ': ' || coalesce(nullif(concat_ws('; ',
+                CASE WHEN {below} THEN min({column}) || ' is below {low}' END,
+                CASE WHEN {above} THEN max({column}) || ' is above {high}' END), ''), 'all within bounds')
             FROM agg_daily_metrics"""
 
     return " UNION ALL ".join(
@@ -276,7 +276,7 @@ def _suite() -> str:
     )
 
 
-def _bodies(as_of: str, start: str, day: str, load_date: str) -> dict:
+def _bodies(as_of: str, start: str, day: str, load_date: str, raw_range: tuple[str, str]) -> dict:
     """query -> (CTEs it reads, SELECT)."""
 
     def pct(top, bottom, digits=2):
@@ -316,6 +316,12 @@ def _bodies(as_of: str, start: str, day: str, load_date: str) -> dict:
                 FROM agg_retention_cohorts WHERE platform_key = {where} GROUP BY ALL""",
         )
 
+    in_range = (
+        ["raw_events"],
+        f"""FROM raw_events WHERE CAST(event_timestamp AS DATE)
+            BETWEEN DATE '{raw_range[0]}' AND DATE '{raw_range[1]}'""",
+    )
+
     def reached(event_type):
         return f"count(DISTINCT user_key) FILTER (event_type_key = '{event_type}')"
 
@@ -384,6 +390,37 @@ def _bodies(as_of: str, start: str, day: str, load_date: str) -> dict:
         ),
         "fct_events": (["fct_events"], "FROM fct_events"),
         "incremental_facts": (["fct_events"], "FROM fct_events"),
+        "raw_events_range": in_range,
+        "raw_events_text_times": in_range,
+        "raw_events_number_times": in_range,
+        "raw_days": (
+            ["raw_events"],
+            "SELECT DISTINCT CAST(event_timestamp AS DATE) AS dt FROM raw_events WHERE event_timestamp IS NOT NULL",
+        ),
+        "dimension_modes": (
+            ["second_load"],
+            f"""SELECT left(md5(user_id), 12) AS user_key, user_id, {new.replace("n.", "")},
+                signup_date AS effective_from, CAST(NULL AS DATE) AS effective_to, TRUE AS is_current FROM second_load""",
+        ),
+        "replaced_fact_day": (
+            ["fct_events"],
+            f"SELECT * FROM fct_events WHERE date_key <> DATE '{raw_range[0]}' OR platform_key = 'facebook'",
+        ),
+        "replaced_metrics": (
+            ["agg_daily_metrics"],
+            f"""SELECT * REPLACE (CASE WHEN date_key = DATE '{raw_range[0]}' THEN 0 ELSE total_sessions END AS total_sessions)
+                FROM agg_daily_metrics""",
+        ),
+        "full_refresh_metrics": (["agg_daily_metrics"], "FROM agg_daily_metrics"),
+        "verified_facts": (
+            ["fct_events"],
+            "SELECT count(*) AS row_count, least(count(*), 5) AS sample_rows FROM fct_events",
+        ),
+        "quality_gate": (
+            ["checks"],
+            """SELECT CASE WHEN count(*) > 0 AND count(*) FILTER (status = 'failed') = 0
+                 THEN 'build_aggregates' ELSE 'quality_alert' END AS branch FROM checks""",
+        ),
         "unknown_user_events": (
             ["clean", "dim_users"],
             "SELECT count(*) AS unknown_user_events FROM clean ANTI JOIN dim_users USING (user_id)",
@@ -655,7 +692,7 @@ def _bodies(as_of: str, start: str, day: str, load_date: str) -> dict:
             ["fct_events"],
             f"""SELECT 'freshness' AS check_name, 'fct_events' AS table_name, 'warning' AS severity,
                 CASE WHEN t IS NULL THEN 'skipped' WHEN h <= 48 THEN 'passed' ELSE 'failed' END AS status,
-                CASE WHEN t IS NULL THEN 'No data found in table' ELSE printf('Latest data: %s (%.1fh ago, max: 48h)',
+                CASE WHEN t IS NULL THEN 'no row has a time' ELSE printf('newest row of %s is %.1f hours old, up to 48 allowed',
                   CASE WHEN microsecond(t) % 1000000 = 0 THEN strftime(t, '%Y-%m-%d %H:%M:%S')
                        ELSE strftime(t, '%Y-%m-%d %H:%M:%S.%f') END, h) END AS message
                 FROM (SELECT t, date_diff('microsecond', t, TIMESTAMP '{as_of}')::DOUBLE / 1e6 / 3600 AS h
@@ -665,8 +702,8 @@ def _bodies(as_of: str, start: str, day: str, load_date: str) -> dict:
             ["fct_events"],
             """SELECT 'duplicate_rate_event_id' AS check_name, 'fct_events' AS table_name, 'warning' AS severity,
                CASE WHEN n = 0 THEN 'skipped' WHEN r <= 0.001 THEN 'passed' ELSE 'failed' END AS status,
-               CASE WHEN n = 0 THEN 'Table fct_events is empty'
-                    ELSE printf('Duplicate rate: %.4f%% (threshold: 0.10%%)', 100 * r) END AS message
+               CASE WHEN n = 0 THEN 'fct_events has no rows'
+                    ELSE printf('%.4f%% of the rows are copies, up to 0.10%% allowed', 100 * r) END AS message
                FROM (SELECT count(*) AS n, 1 - count(DISTINCT event_id)::DOUBLE / nullif(count(*), 0) AS r
                      FROM fct_events)""",
         ),
@@ -689,7 +726,9 @@ def _bodies(as_of: str, start: str, day: str, load_date: str) -> dict:
     }
 
 
-def oracle_queries(as_of: str, start: str, day: str, load_date: str) -> dict[str, str]:
+def oracle_queries(
+    as_of: str, start: str, day: str, load_date: str, raw_range: tuple[str, str]
+) -> dict[str, str]:
     """query -> SQL text, each with the CTEs it needs in front."""
     ctes = _ctes(as_of, day)
 
@@ -711,5 +750,5 @@ def oracle_queries(as_of: str, start: str, day: str, load_date: str) -> dict[str
 
     return {
         query: nested(names, body)
-        for query, (names, body) in _bodies(as_of, start, day, load_date).items()
+        for query, (names, body) in _bodies(as_of, start, day, load_date, raw_range).items()
     }

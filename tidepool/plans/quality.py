@@ -46,8 +46,8 @@ def _null_rate(table: str, column: str, total: Column, nulls: Column, threshold:
         table,
         F.when(total == 0, "warning").otherwise("critical"),
         F.when(total == 0, "skipped").otherwise(_passed(rate <= threshold)),
-        F.when(total == 0, f"Table {table} is empty").otherwise(
-            F.format_string(f"Null rate: %.4f%% (threshold: {threshold:.2%}%)", rate * 100)
+        F.when(total == 0, f"{table} has no rows").otherwise(
+            F.format_string(f"%.4f%% of the values are missing, up to {threshold:.2%}% allowed", rate * 100)
         ),
     )
 
@@ -58,7 +58,7 @@ def _uniqueness(table: str, column: str, total: Column, distinct: Column) -> Col
         table,
         "critical",
         _passed(total == distinct),
-        F.format_string("Duplicates: %,d out of %,d rows", total - distinct, total),
+        F.format_string("%,d of %,d rows repeat a value", total - distinct, total),
     )
 
 
@@ -68,7 +68,7 @@ def _integrity(table: str, key: str, orphaned: Column, total: Column) -> Column:
         table,
         "critical",
         _passed(orphaned == 0),
-        F.format_string("Orphaned keys: %,d out of %,d distinct keys", orphaned, total),
+        F.format_string("%,d of %,d keys are not in the dimension", orphaned, total),
     )
 
 
@@ -78,7 +78,7 @@ def _row_count(table: str, count: Column, minimum: int) -> Column:
         table,
         "critical",
         _passed(count >= minimum),
-        F.format_string(f"Row count: %,d (minimum: {minimum:,})", count),
+        F.format_string(f"%,d rows, {minimum:,} or more expected", count),
     )
 
 
@@ -89,18 +89,18 @@ def _value_range(
     above = (high > maximum) if maximum is not None else F.lit(False)
     violations = F.concat_ws(
         "; ",
-        F.when(below, F.concat(F.lit("min="), low.cast("string"), F.lit(f" < expected_min={minimum}"))),
-        F.when(above, F.concat(F.lit("max="), high.cast("string"), F.lit(f" > expected_max={maximum}"))),
+        F.when(below, F.concat(low.cast("string"), F.lit(f" is below {minimum}"))),
+        F.when(above, F.concat(high.cast("string"), F.lit(f" is above {maximum}"))),
     )
-    shown = [F.coalesce(c.cast("string"), F.lit("None")) for c in (low, high)]
+    shown = [F.coalesce(c.cast("string"), F.lit("nothing")) for c in (low, high)]
     return _verdict(
         f"value_range_{column}",
         table,
         "warning",
         _passed(violations == ""),
         F.concat(
-            F.lit("Range ["), shown[0], F.lit(", "), shown[1], F.lit("] — "),
-            F.when(violations == "", "OK").otherwise(violations),
+            F.lit("values from "), shown[0], F.lit(" to "), shown[1], F.lit(": "),
+            F.when(violations == "", "all within bounds").otherwise(violations),
         ),
     )
 
@@ -141,8 +141,8 @@ def check_duplicate_rate(
         table,
         "warning",
         F.when(F.col("total") == 0, "skipped").otherwise(_passed(rate <= threshold)),
-        F.when(F.col("total") == 0, f"Table {table} is empty").otherwise(
-            F.format_string(f"Duplicate rate: %.4f%% (threshold: {threshold:.2%}%)", rate * 100)
+        F.when(F.col("total") == 0, f"{table} has no rows").otherwise(
+            F.format_string(f"%.4f%% of the rows are copies, up to {threshold:.2%}% allowed", rate * 100)
         ),
     )
     return _with_metrics(measured, verdict)
@@ -168,8 +168,8 @@ def check_freshness(
         table,
         "warning",
         F.when(latest.isNull(), "skipped").otherwise(_passed(hours <= max_hours)),
-        F.when(latest.isNull(), "No data found in table").otherwise(
-            F.format_string(f"Latest data: %s (%.1fh ago, max: {max_hours}h)", text, hours)
+        F.when(latest.isNull(), "no row has a time").otherwise(
+            F.format_string(f"newest row of %s is %.1f hours old, up to {max_hours} allowed", text, hours)
         ),
     )
     return _with_metrics(measured, verdict).withColumn("age_hours", rounded(hours, 1))
