@@ -224,6 +224,55 @@ def _rows(measured: DataFrame, *verdicts: Column) -> DataFrame:
     return measured.select(F.explode(F.array(*verdicts)).alias("v")).select("v.*")
 
 
+def _known(dim: DataFrame, key: str) -> DataFrame:
+    return dim.select(key).distinct().withColumn(f"_{key}", F.lit(True))
+
+
+def _measured_facts(
+    fact: DataFrame, platforms: DataFrame, event_types: DataFrame, required: list[str]
+) -> DataFrame:
+    """One row of counts over the facts, from one scan folded by platform and event type."""
+    small = ["platform_key", "event_type_key"]
+    folded = fact.groupBy(*small).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[count_where(F.col(c).isNull()).alias(f"{c}_nulls") for c in required],
+    )
+    folded = folded.join(_known(platforms, small[0]), small[0], "left").join(
+        _known(event_types, small[1]), small[1], "left"
+    )
+    lacking = {k: F.when(F.col(f"_{k}").isNull(), F.col(k)) for k in small}
+    return folded.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        *[F.coalesce(F.sum(f"{c}_nulls"), F.lit(0)).alias(c) for c in required],
+        *[F.count_distinct(k).alias(f"{k}_total") for k in small],
+        *[F.count_distinct(v).alias(f"{k}_orphaned") for k, v in lacking.items()],
+    )
+
+
+def _measured_keys(fact: DataFrame, users: DataFrame) -> DataFrame:
+    """Distinct event ids and user keys, and users without a dimension row, from one scan.
+
+    Both kinds of keys are folded together with the dimension's keys, so there is no join.
+    """
+    used = fact.select(
+        F.explode(
+            F.array(
+                F.struct(F.lit("id").alias("kind"), F.col("event_id").alias("key")),
+                F.struct(F.lit("user").alias("kind"), F.col("user_key").alias("key")),
+            )
+        ).alias("k")
+    ).select("k.*", F.lit(True).alias("used"), F.lit(False).alias("known"))
+    known = users.select(F.lit("user"), "user_key", F.lit(False), F.lit(True))
+    keys = used.union(known).where("key IS NOT NULL").groupBy("kind", "key")
+    keys = keys.agg(F.max("used").alias("used"), F.max("known").alias("known")).where("used")
+    user = F.col("kind") == "user"
+    return keys.agg(
+        count_where(~user).alias("ids"),
+        count_where(user).alias("user_key_total"),
+        count_where(user & ~F.col("known")).alias("user_key_orphaned"),
+    )
+
+
 def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
     """The warehouse suite: 17 checks over facts, dimensions and daily metrics."""
     fact, daily = tables["fct_events"], tables["agg_daily_metrics"]
@@ -231,11 +280,10 @@ def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
     n = F.col("n")
     required = ["user_key", "event_type_key", "date_key"]
 
-    facts = fact.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_distinct("event_id").alias("ids"),
-        *[count_where(F.col(c).isNull()).alias(c) for c in required],
-    )
+    facts = _measured_facts(fact, tables["dim_platform"], tables["dim_event_type"], required)
+    # two single rows, folded to one
+    facts = facts.unionByName(_measured_keys(fact, users), allowMissingColumns=True)
+    facts = facts.agg(*[F.max(c).alias(c) for c in facts.columns])
     people = users.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_distinct("user_key").alias("keys"),
@@ -252,15 +300,11 @@ def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
             _row_count("fct_events", n, 1000),
             _uniqueness("fct_events", "event_id", n, F.col("ids")),
             *[_null_rate("fct_events", c, n, F.col(c), 0.01) for c in required],
+            *[
+                _integrity("fct_events", key, F.col(f"{key}_orphaned"), F.col(f"{key}_total"))
+                for key in ("user_key", "platform_key", "event_type_key")
+            ],
         ),
-        *[
-            check_referential_integrity(fact, "fct_events", key, tables[dim], key).select(COMMON)
-            for key, dim in (
-                ("user_key", "dim_users"),
-                ("platform_key", "dim_platform"),
-                ("event_type_key", "dim_event_type"),
-            )
-        ],
         _rows(
             people,
             _row_count("dim_users", n, 100),
