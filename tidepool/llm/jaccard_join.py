@@ -9,9 +9,9 @@ d + 1 segments of two documents that differ in d shingles at least one is equal.
 Documents meet in size bands, each with its own K. A document puts its d + 1 first segments,
 in an order that depends only on the segments' contents, into an equality join; the order
 starts with segments that hold a rare shingle, so passages which many documents share seldom
-bring documents together. A second sketch of 512 parity bits, whose Hamming distance bounds
-the difference from below too, rejects most candidates that are left; the others are
-compared by their whole shingle sets.
+bring documents together. Further sketches of 512 parity bits, and of 4,096 for large sets,
+whose Hamming distance bounds the difference from below too, reject most candidates that are
+left; the others are compared by their whole shingle sets.
 
 Groups may hold any share of the corpus. First rounds link documents to a few others that
 share one of their four first segments; documents in one group then carry one label. The full
@@ -38,6 +38,8 @@ WORDS = 5
 # Similarity: 100 * intersection >= 75 * union, so the difference is at most (p + q) / 7.
 SHARE = 75
 SKETCH_WORDS = 8  # of 64 parity bits
+# Sets from this size up, whose difference 512 bits bound too weakly, have a wider sketch.
+WIDE_FROM, WIDE_WORDS = 400, 64
 FIRST_KEYS = 4
 # Rounds of merging at most, by first segments and by all, and the documents that each one
 # tries per round.
@@ -53,10 +55,11 @@ _SKETCH = [f"c{i}" for i in range(SKETCH_WORDS)]
 _SETS = pa.schema(
     [("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary())]
     + [("first", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64()))]
+    + [("wide", pa.list_(pa.int64()))]
     + [(c, pa.int64()) for c in _SKETCH]
 )
 _SETS_DDL = (
-    "doc_id long, n long, digest binary, first array<long>, keys array<long>, "
+    "doc_id long, n long, digest binary, first array<long>, keys array<long>, wide array<long>, "
     + ", ".join(f"{c} long" for c in _SKETCH)
 )
 
@@ -104,9 +107,9 @@ def _is_frequent(hashes: np.ndarray, frequent: np.ndarray, bits: np.ndarray) ->
     return found
 
 
-def _sketch(hashes: np.ndarray) -> np.ndarray:
-    bit = mix(hashes ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(64 * SKETCH_WORDS)
-    odd = (np.bincount(bit.astype(np.int64), minlength=64 * SKETCH_WORDS) & 1).astype(np.uint8)
+def _sketch(hashes: np.ndarray, words: int) -> np.ndarray:
+    bit = mix(hashes ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(64 * words)
+    odd = (np.bincount(bit.astype(np.int64), minlength=64 * words) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").view(np.int64)
 
 
@@ -117,7 +120,7 @@ def _sets(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[p
     for batch in batches:
         ids = batch.column(0)
         for low, high, w in batch_words(batch.column(1), SPACED, fold=True):
-            sizes, digests, first, keys, sketches = [], [], [], [], []
+            sizes, digests, first, keys, wide, sketches = [], [], [], [], [], []
             for a, b in zip(w.first[:-1], w.first[1:]):
                 own = shingles(w.hashes[a:b], WORDS)
                 sizes.append(len(own))
@@ -129,9 +132,10 @@ def _sets(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[p
                     digests.append(None)
                 first.append(mine[:FIRST_KEYS])
                 keys.append(np.r_[mine, below])
-                sketches.append(_sketch(own))
+                wide.append(_sketch(own, WIDE_WORDS) if len(own) >= WIDE_FROM else nothing.view(np.int64))
+                sketches.append(_sketch(own, SKETCH_WORDS))
             columns = [ids.slice(low, high - low), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())]
-            columns += [long_lists(first), long_lists(keys)]
+            columns += [long_lists(first), long_lists(keys), long_lists(wide)]
             columns += [pa.array(c) for c in np.stack(sketches, axis=1)]
             yield pa.RecordBatch.from_arrays(columns, schema=_SETS)
 
@@ -249,16 +253,30 @@ def _possible(a: str, b: str):
 class _Groups:
     """Groups found so far, and rounds that merge more of them."""
 
-    def __init__(self, docs: DataFrame):
+    def __init__(self, docs: DataFrame, sets: DataFrame):
         self.docs = docs
+        self.wide = sets.select("doc_id", "n", "wide")
         spark = docs.sparkSession
         self.links = spark.createDataFrame([], "a long, b long")
         self.labels = spark.createDataFrame([], "doc_id long, label long")
         self.count = 0
 
+    def _plausible(self, pairs: DataFrame) -> DataFrame:
+        """Stored pairs whose wide sketches, where both have one, differ little enough."""
+        rows = pairs.count()
+        for side in ("a", "b"):
+            own = self.wide.select(F.col("doc_id").alias(side), F.struct("n", "wide").alias(f"{side}_w"))
+            pairs = joined(own, pairs, side, "inner", rows) if side == "a" else own.join(pairs, side)
+        differ = F.aggregate(
+            F.zip_with("a_w.wide", "b_w.wide", lambda x, y: F.bit_count(F.coalesce(x.bitwiseXOR(y), F.lit(0)))),
+            F.lit(0),
+            lambda total, x: total + x,
+        )
+        return pairs.where(7 * differ <= F.col("a_w.n") + F.col("b_w.n")).select("a", "b")
+
     def add(self, pairs: DataFrame) -> int:
         """Verifies stored candidate pairs; the number of links found."""
-        new = written(verified(self.docs, pairs))
+        new = written(verified(self.docs, written(self._plausible(pairs))))
         found = new.count()
         if found:
             self.links = self.links.union(new)
@@ -316,7 +334,7 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     n_copies = copies.count()
     everyone = sets.select("doc_id", F.col("n").alias("n_shingles"))
     sets = joined(sets, copies.select("doc_id"), "doc_id", "left_anti", n_copies)
-    groups = _Groups(docs)
+    groups = _Groups(docs, sets)
 
     # first rounds: documents whose first segments are equal
     first = sets.select("doc_id", F.explode("first").alias("key"))
