@@ -195,6 +195,43 @@ def test_line_dedup(docs, odd, nothing, spark):
     assert (after[0], after[1], after[4], after[6]) == (runs[0], "x\ny", "q\nq", "t")
 
 
+def brute_removed(texts):
+    """Lines that go: 4-line windows, long lines, and the shortest runs of 2 or 3 lines of 50 words."""
+    seen, gone = {}, {}
+    for i, text in sorted((i, t) for i, t in texts.items() if t is not None):
+        raw = text.split("\n")
+        lines = [x.strip(" \t\n\x0b\x0c\r") for x in raw]
+        n = [len(re.findall(SPACED, x)) for x in lines]
+        sizes = [[4] if at + 4 <= len(lines) else [] for at in range(len(lines))]
+        for at, line in enumerate(raw):
+            if len(re.split(r"[\x20\x09-\x0D]+", line.strip(" "))) >= 50:
+                sizes[at].append(1)
+            run = [k for k in (1, 2, 3) if at + k <= len(lines) and sum(n[at : at + k]) >= 50]
+            if n[at] and run and run[0] > 1:
+                sizes[at].append(run[0])
+        for at in range(len(lines)):
+            for size in sizes[at]:
+                first = seen.setdefault(tuple(lines[at : at + size]), (i, at))
+                if first[0] != i or at >= first[1] + size:
+                    gone.setdefault(i, set()).update(range(at, at + size))
+    return {i: sorted(x) for i, x in gone.items()}
+
+
+def test_passages_of_few_lines(spark, docs, odd):
+    line = lambda c, n: " ".join(f"{c}{k}" for k in range(n))
+    two, three = f"{line('a', 30)}\n{line('b', 25)}", f"{line('c', 20)}\n\n{line('d', 30)}"
+    made = [f"x\n{two}\ny", f"z\n {two} ", f"{three}\nu", f"v\n{three}", f"{line('a', 30)}\nw", f"{two}\n{two}", line("e", 24) + "\n" + line("f", 25)]
+    rows = spark.createDataFrame(list(enumerate([*made, made[-1]])), "doc_id long, text string")
+    after = texts_of(line_dedup.without_repeated_lines(rows, short_runs=True))
+    assert [after[i] for i in range(8)] == [made[0], "z", made[2], "v", made[4], "", made[6], made[6]]
+    for rows in (rows, docs, odd):
+        got = {r["doc_id"]: r["removed"] for r in line_dedup.repeated_lines(rows, short_runs=True).collect()}
+        assert got == brute_removed(texts_of(rows))
+    plain = {r["doc_id"]: r["removed"] for r in line_dedup.repeated_lines(docs).collect()}
+    every = brute_removed(texts_of(docs))
+    assert plain != every and all(set(x) <= set(every[i]) for i, x in plain.items())
+
+
 # -- 5 ------------------------------------------------------------------------------------
 
 
