@@ -325,6 +325,17 @@ def test_assigned_secrets():
     assert found(SECRETS[8]) == found(SECRETS[9]) == found(SECRETS[10]) == []
 
 
+@pytest.mark.parametrize("name", [*secrets.SENSITIVE, "private_key", "encryptionKey", "ACCOUNT_KEY", "session_cookie", "test_db_pwd", "client_id_secret"])
+def test_each_sensitive_word_finds_a_random_literal(name):
+    literal = "Xk9mPq2vL8sTz7Rw"
+    for text in (f'{name} = "{literal}"', f"my_{name}: {literal}"):
+        assert [text[a:b] for a, b, _ in secrets.assigned_spans(text)] == [literal]
+    for plain in ("cornflowerblue", "2024-01-01", "aaaaaaaaaaaa", "/usr/local/lib"):
+        if secrets.name_score(name) < 0.8:
+            assert secrets.assigned_spans(f'{name} = "{plain}"') == []
+    assert secrets.assigned_spans(f'public_key_file = "{literal}"') == secrets.assigned_spans(f'color = "{literal}"') == []
+
+
 # -- 7 ------------------------------------------------------------------------------------
 
 

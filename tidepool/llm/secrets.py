@@ -5,7 +5,7 @@ assignments: ``name = "literal"``, ``name: literal``, ``export NAME=literal``, J
 and calls with keyword arguments become pairs of a name and a literal, or of a name and
 another name. Names that stand for a literal are followed to it, so the literal in
 ``x = "..."`` counts as that of ``db_password = x``. Each literal is scored by the words in
-the names it reaches and by how random it looks.
+the names it reaches and by how random it looks; a random one makes up for a vague name.
 """
 
 from __future__ import annotations
@@ -40,6 +40,8 @@ SENSITIVE = {
 HARMLESS = {"public", "example", "sample", "test", "dummy", "placeholder", "hash", "name", "id", "path", "file", "url"}
 MIN_SCORE = 0.8
 MIN_LITERAL = 8
+# From which randomness on a literal is evidence of its own, and how much of it at most.
+RANDOM, LIFT = 0.7, 0.72
 # A chain of names is followed so far.
 MAX_HOPS = 8
 
@@ -87,6 +89,16 @@ def randomness(literal: str) -> float:
     return min(1.0, bits / 4) * (0.5 + 0.5 * min(1.0, (kinds - 1) / 2))
 
 
+def score(named: float, random: float) -> float:
+    """How likely a literal of this randomness is a secret, when its best name scores ``named``.
+
+    A random literal counts beside the name, so every word of SENSITIVE can reach MIN_SCORE;
+    one of a weight below 0.3 can't, such as ``key`` in a harmless name.
+    """
+    plain = named * (0.6 + 0.4 * random)
+    return max(plain, 1 - (1 - named) * (1 - LIFT * random)) if named and random >= RANDOM else plain
+
+
 def assigned_spans(text: str, min_score: float = MIN_SCORE) -> list[tuple[int, int, str]]:
     """(start, end, "name") of literals that reach a sensitive name and look like a secret."""
     literals: list[tuple[int, int, list[str]]] = []  # start, end, the names that hold it
@@ -107,7 +119,8 @@ def assigned_spans(text: str, min_score: float = MIN_SCORE) -> list[tuple[int, i
         literal = text[start:end]
         if end - start < MIN_LITERAL or any(c.isspace() for c in literal):
             continue
-        if max(map(name_score, names)) * (0.6 + 0.4 * randomness(literal)) >= min_score and randomness(literal) >= 0.5:
+        random = randomness(literal)
+        if random >= 0.5 and score(max(map(name_score, names)), random) >= min_score:
             spans.append((start, end, "name"))
     return spans
 
