@@ -336,6 +336,14 @@ def test_each_sensitive_word_finds_a_random_literal(name):
     assert secrets.assigned_spans(f'public_key_file = "{literal}"') == secrets.assigned_spans(f'color = "{literal}"') == []
 
 
+@pytest.mark.parametrize("chained", [False, True])
+def test_constant_with_many_names(chained):
+    names = [f"n{k}" for k in range(200)]
+    lines = ['seed = "Xk9#mPq2vL8sTz"', *(f"{a} = {b if chained else 'seed'}" for a, b in zip(names, ["seed", *names]))]
+    text = "\n".join([*lines, f"db_pwd = {names[-1] if chained else 'seed'}", "last = seed"])
+    assert [text[a:b] for a, b, _ in secrets.assigned_spans(text)] == ["Xk9#mPq2vL8sTz"]
+
+
 # -- 7 ------------------------------------------------------------------------------------
 
 

@@ -42,8 +42,6 @@ MIN_SCORE = 0.8
 MIN_LITERAL = 8
 # From which randomness on a literal is evidence of its own, and how much of it at most.
 RANDOM, LIFT = 0.7, 0.72
-# A chain of names is followed so far.
-MAX_HOPS = 8
 
 # RE2, for whole batches: texts that can have an assignment or a base match at all.
 _MAY_ASSIGN = r"[A-Za-z_][\w.\-]*[\"']?[ \t]*(:=|=>|=|:)"
@@ -101,26 +99,25 @@ def score(named: float, random: float) -> float:
 
 def assigned_spans(text: str, min_score: float = MIN_SCORE) -> list[tuple[int, int, str]]:
     """(start, end, "name") of literals that reach a sensitive name and look like a secret."""
-    literals: list[tuple[int, int, list[str]]] = []  # start, end, the names that hold it
+    literals: list[list] = []  # start, end, the highest score of a name that holds it
     held: dict[str, int] = {}  # a name to its literal so far
     for m in _PAIR.finditer(text):
         name, kind = m["name"], m.lastgroup
         value, (start, end) = m[kind], m.span(kind)
         if kind == "bare" and _IDENTIFIER.match(value) and value in held:
             at = held[value]  # a constant: its literal is this name's as well
-            if len(literals[at][2]) < MAX_HOPS:
-                literals[at][2].append(name)
+            literals[at][2] = max(literals[at][2], name_score(name))
             held[name] = at
             continue
         held[name] = len(literals)
-        literals.append((start, end, [name]))
+        literals.append([start, end, name_score(name)])
     spans = []
-    for start, end, names in literals:
+    for start, end, named in literals:
         literal = text[start:end]
         if end - start < MIN_LITERAL or any(c.isspace() for c in literal):
             continue
         random = randomness(literal)
-        if random >= 0.5 and score(max(map(name_score, names)), random) >= min_score:
+        if random >= 0.5 and score(named, random) >= min_score:
             spans.append((start, end, "name"))
     return spans
 
