@@ -401,6 +401,27 @@ def test_language_of_odd_texts(docs, odd, nothing):
     assert kept.columns == docs.columns and kept.count() >= 0.98 * docs.count()
 
 
+def test_many_languages(spark):
+    """More languages than a block holds, the rarest with one text; blocks change no result."""
+    random = np.random.default_rng(8)
+    words = {f"l{k:02}": ["".join(random.choice(list("abcdefghij"), 6)) for _ in range(12)] for k in range(70)}
+    made = [(lang, " ".join(random.choice(w, 30))) for k, (lang, w) in enumerate(words.items()) for _ in range(1 + (k < 65))]
+    rows = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(made)], "doc_id long, text string, lang string")
+    tries = [(k, " ".join(w[:9])) for k, w in enumerate(words.values())] + [(0, None), (None, "..."), (None, "abc")]
+    tries = spark.createDataFrame(tries, "doc_id long, text string")
+    sizes = [(70, 1 << 30), (language_id.BLOCK_LANGUAGES, language_id.BLOCK_CELLS), (9, 1 << 30), (70, 1)]
+    forests = [language_id.train(rows, block_languages=a, block_cells=b) for a, b in sizes]
+    assert [len(f.blocks) for f in forests] == [1, 2, 8, 70]
+    results = [
+        sorted(map(tuple, language_id.predict(tries, f).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        for f in forests
+    ]
+    assert [r[1] for r in results[0] if r[0] is not None and r[1] != "und"] == list(words)
+    for got in results[1:]:
+        assert [r[:2] for r in got] == [r[:2] for r in results[0]]
+        assert [r[2] for r in got] == pytest.approx([r[2] for r in results[0]], rel=1e-9)
+
+
 # -- 9 ------------------------------------------------------------------------------------
 
 

@@ -9,6 +9,10 @@ to the language that codes it in the fewest bits.
 Escapes follow method C: in a context seen n times with d different bytes, a byte seen c
 times has probability c / (n + d), and the escape d / (n + d). Bytes of the longer context
 are not excluded after an escape.
+
+Every language of the labelled texts is learned. The trees' sizes follow the sampled texts of
+their own languages. Languages whose trees are too large for one broadcast together are held
+in blocks: each block scores all texts, and the best code lengths of a text are combined.
 """
 
 from __future__ import annotations
@@ -18,19 +22,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import written
-from .tables import joined
+from .tables import joined, keyed
 from .text import LETTERS, pieces, text_bytes
 
 ORDER = 3
 # About so many training documents of each language, chosen by a hash of the id.
 TRAIN_DOCS = 20_000
-# The most languages, and the most tree nodes over all languages: both by frequency.
-MAX_LANGUAGES = 64
-MAX_NODES = 1_000_000
+# The languages of a block, and its table of code lengths: nodes times languages. A language
+# with more nodes is a block of its own.
+BLOCK_LANGUAGES = 64
+BLOCK_CELLS = 8_000_000
 MIN_SCORE = 0.5
 UNKNOWN = "und"
 
@@ -84,7 +90,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Trees:
-    """The frozen context trees of all languages, as tables of code lengths."""
+    """The frozen context trees of a block of languages, as tables of code lengths.
+
+    A language's code lengths don't depend on the others of its block.
+    """
 
     def __init__(self, languages: list[str], tongue: np.ndarray, gram: np.ndarray, n: np.ndarray):
         self.languages = languages
@@ -106,16 +115,17 @@ class Trees:
             with np.errstate(divide="ignore", invalid="ignore"):
                 escape = np.where(total > 0, np.log2((total + kinds) / kinds), 0.0)
                 bits = np.log2((total + kinds)[of] / counts)
-            shorter = self._lookup(order - 1, seen & ((1 << 8 * order) - 1)) if order else 8.0
-            bits = np.where(counts > 0, bits, escape[of] + shorter)
+            shorter = self._lookup(order - 1, seen & ((1 << 8 * order) - 1)) if order else np.float32(8)
+            escape = escape.astype(np.float32)
+            bits = np.where(counts > 0, bits.astype(np.float32), escape[of] + shorter)
             self.grams.append(seen)
-            self.bits.append(bits.astype(np.float32))
+            self.bits.append(bits)
             self.contexts.append(contexts)
-            self.escapes.append(escape.astype(np.float32))
+            self.escapes.append(escape)
 
     def _lookup(self, order: int, gram: np.ndarray) -> np.ndarray:
         """Bits of each gram's last byte after its context, in each language."""
-        if order < 0:
+        if order < 0 or not len(self.grams[order]):
             return np.full((len(gram), len(self.languages)), 8.0, dtype=np.float32)
         at = np.minimum(np.searchsorted(self.grams[order], gram), len(self.grams[order]) - 1)
         out = self.bits[order][at]
@@ -139,53 +149,133 @@ class Trees:
         return out
 
 
-def train(docs: DataFrame, docs_per_language: int = TRAIN_DOCS) -> Trees | None:
+class Forest:
+    """The trees of all languages, in blocks that are built one at a time from stored counts."""
+
+    def __init__(self, languages: list[str], counts: DataFrame, blocks: list[range]):
+        self.languages, self.counts, self.blocks = languages, counts, blocks
+        self._held: list[Broadcast] = []
+
+    def trees(self, block: range) -> Trees:
+        rows = self.counts.where(F.col("tongue").between(block.start, block.stop - 1)).toArrow()
+        tongue, gram, n = (rows[c].to_numpy() for c in ("tongue", "gram", "n"))
+        return Trees(self.languages[block.start : block.stop], tongue - block.start, gram, n)
+
+    def held(self) -> list[Broadcast]:
+        """The blocks' trees as broadcasts; the driver keeps none in memory."""
+        if not self._held:
+            context = self.counts.sparkSession.sparkContext
+            self._held = [context.broadcast(self.trees(block)) for block in self.blocks]
+        return self._held
+
+    def code_lengths(self, code: np.ndarray, where: np.ndarray) -> np.ndarray:
+        """Bits of each text in each language."""
+        return np.hstack([self.trees(block).code_lengths(code, where) for block in self.blocks])
+
+
+def _blocks(nodes: list[int], languages: int, cells: int) -> list[range]:
+    """Consecutive languages, by their numbers of nodes, in blocks of bounded size."""
+    blocks, first, total = [], 0, 0
+    for k, n in enumerate(nodes):
+        many = k - first + 1
+        if many > 1 and (many > languages or many * (total + n) > cells):
+            blocks.append(range(first, k))
+            first, total = k, 0
+        total += n
+    return [*blocks, range(first, len(nodes))]
+
+
+def train(
+    docs: DataFrame,
+    docs_per_language: int = TRAIN_DOCS,
+    block_languages: int = BLOCK_LANGUAGES,
+    block_cells: int = BLOCK_CELLS,
+) -> Forest | None:
     """Trees from (doc_id, text, lang); None when no row has both a text and a language."""
     docs = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
-    sizes = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    sizes = sizes.orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    languages = sorted(r["lang"] for r in sizes)
-    if not languages:
+    sizes = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    sizes = sorted((r["lang"], r["n"]) for r in sizes)
+    if not sizes:
         return None
     chosen = docs.sparkSession.createDataFrame(
-        [(r["lang"], languages.index(r["lang"]), min(1.0, docs_per_language / r["n"])) for r in sizes],
+        [(lang, k, min(1.0, docs_per_language / n)) for k, (lang, n) in enumerate(sizes)],
         "lang string, tongue int, share double",
     )
     draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
-    sample = docs.join(F.broadcast(chosen), "lang").where(draw < F.col("share"))
+    sample = joined(docs, chosen, "lang", "inner", len(sizes)).where(draw < F.col("share"))
     counts = sample.select("text", "tongue").mapInArrow(_count, "tongue int, gram long, n long")
-    counts = counts.groupBy("tongue", "gram").agg(F.sum("n").alias("n"))
-    counts = counts.orderBy(F.desc("n"), "tongue", "gram").limit(MAX_NODES).toArrow()
-    if counts.num_rows == 0:
+    counts = written(counts.groupBy("tongue", "gram").agg(F.sum("n").alias("n")))
+    nodes = {r["tongue"]: r["count"] for r in counts.groupBy("tongue").count().collect()}
+    if not nodes:
         return None
-    return Trees(languages, *(counts[c].to_numpy() for c in ("tongue", "gram", "n")))
+    blocks = _blocks([nodes.get(k, 0) for k in range(len(sizes))], block_languages, block_cells)
+    return Forest([lang for lang, _ in sizes], counts, blocks)
+
+
+def _measured(column: pa.Array, trees: Trees | None) -> tuple[list[str | None], np.ndarray, np.ndarray]:
+    """Of each text: the best language (None without a letter), its bits, and the sum of all odds against it."""
+    size = len(column)
+    best, bits, odds = np.zeros(size, dtype=np.int64), np.zeros(size), np.ones(size)
+    letters = pc.fill_null(pc.match_substring_regex(column, r"\p{L}"), False).to_numpy(zero_copy_only=False)
+    for first, last, code, where in _normal(column) if trees else ():
+        lengths = trees.code_lengths(code, where)
+        best[first:last] = lengths.argmin(axis=1)
+        bits[first:last] = lengths.min(axis=1)
+        odds[first:last] = np.exp2(np.clip(bits[first:last, None] - lengths, -1000, 0)).sum(axis=1)
+    return [trees.languages[k] if ok and trees else None for k, ok in zip(best, letters)], bits, odds
 
 
 def _predict(batches: Iterator[pa.RecordBatch], trees: Trees | None) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        column = batch.column(1)
-        size = batch.num_rows
-        best = np.zeros(size, dtype=np.int64)
-        score = np.zeros(size)
-        letters = pc.fill_null(pc.match_substring_regex(column, r"\p{L}"), False).to_numpy(zero_copy_only=False)
-        for first, last, code, where in _normal(column) if trees else ():
-            bits = trees.code_lengths(code, where)
-            best[first:last] = bits.argmin(axis=1)
-            odds = np.exp2(np.clip(bits.min(axis=1, keepdims=True) - bits, -1000, 0))
-            score[first:last] = 1 / odds.sum(axis=1)
-        names = trees.languages if trees else []
-        found = letters & bool(trees)
+        best, _, odds = _measured(batch.column(1), trees)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
-                pa.array([names[k] if ok else UNKNOWN for k, ok in zip(best, found)], pa.string()),
-                pa.array(np.where(found, score, 0.0)),
+                pa.array([UNKNOWN if x is None else x for x in best], pa.string()),
+                pa.array(np.where([x is not None for x in best], 1 / odds, 0.0)),
             ],
             names=["doc_id", "lang_pred", "score"],
         )
 
 
-def predict(docs: DataFrame, trees: Trees | None) -> DataFrame:
+def _score_block(batches: Iterator[pa.RecordBatch], trees: Trees) -> Iterator[pa.RecordBatch]:
+    """(_row, doc_id, text) to the best language of a block, its bits and the sum of odds."""
+    for batch in batches:
+        best, bits, odds = _measured(batch.column(2), trees)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(best, pa.string()), pa.array(bits), pa.array(odds)],
+            names=["_row", "doc_id", "lang", "bits", "odds"],
+        )
+
+
+def _combined(docs: DataFrame, held: list[Broadcast]) -> DataFrame:
+    """As ``_predict``, from the best of each block."""
+    rows, every = keyed(docs, "doc_id", "text"), None
+    for block in held:
+        part = rows.mapInArrow(
+            lambda b, block=block: _score_block(b, block.value),
+            "_row long, doc_id long, lang string, bits double, odds double",
+        )
+        every = part if every is None else every.union(part)
+    best = every.groupBy("_row").agg(
+        F.first("doc_id").alias("doc_id"),
+        F.min(F.struct("bits", "lang")).alias("best"),
+        F.collect_list(F.struct("bits", "odds")).alias("blocks"),
+    )
+    least, lang = F.col("best.bits"), F.col("best.lang")
+    odds = F.aggregate(
+        "blocks",
+        F.lit(0.0),
+        lambda total, x: total + x["odds"] * F.pow(F.lit(2.0), F.greatest(least - x["bits"], F.lit(-1000.0))),
+    )
+    return best.select(
+        "doc_id",
+        F.coalesce(lang, F.lit(UNKNOWN)).alias("lang_pred"),
+        F.when(lang.isNull(), 0.0).otherwise(1 / odds).alias("score"),
+    )
+
+
+def predict(docs: DataFrame, trees: Forest | None) -> DataFrame:
     """(doc_id, lang_pred, score) of every row of ``docs`` (doc_id, text, ...).
 
     The score is the probability of the language given the text when all are equally likely
@@ -193,13 +283,15 @@ def predict(docs: DataFrame, trees: Trees | None) -> DataFrame:
     ``und`` and 0. Of equally good languages the first by name is taken. Repeated rows are
     predicted each; other columns are ignored.
     """
-    held = docs.sparkSession.sparkContext.broadcast(trees)
+    held = trees.held() if trees else [docs.sparkSession.sparkContext.broadcast(None)]
+    if len(held) > 1:
+        return _combined(docs, held)
     return docs.select("doc_id", "text").mapInArrow(
-        lambda b: _predict(b, held.value), "doc_id long, lang_pred string, score double"
+        lambda b: _predict(b, held[0].value), "doc_id long, lang_pred string, score double"
     )
 
 
-def keep_identified(docs: DataFrame, trees: Trees | None, min_score: float = MIN_SCORE) -> DataFrame:
+def keep_identified(docs: DataFrame, trees: Forest | None, min_score: float = MIN_SCORE) -> DataFrame:
     """``docs`` without rows of no known language, or of one with a score below the minimum."""
     out = written(predict(docs, trees).where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < min_score)))
     return joined(docs, out.select("doc_id"), "doc_id", "left_anti", out.count())

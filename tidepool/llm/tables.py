@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
+
 # A side of at most this many narrow rows (ids or hashes; under 64 MB) may be broadcast.
 BROADCAST_ROWS = 1_000_000
 
@@ -23,6 +25,14 @@ def joined(left: DataFrame, right: DataFrame, key: str | list[str], how: str, ro
     return left.join(F.broadcast(right) if rows <= BROADCAST_ROWS else right, key, how)
 
 
+def keyed(docs: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of ``docs`` after _row, a number that no other row has.
+
+    Stored, so that every scan sees the same numbers.
+    """
+    return written(docs.select(F.monotonically_increasing_id().alias("_row"), *columns))
+
+
 def long_lists(arrays: list[np.ndarray]) -> pa.Array:
     """A list<int64> column from arrays of 64-bit integers."""
     offsets = np.zeros(len(arrays) + 1, dtype=np.int32)
