@@ -164,6 +164,23 @@ def test_contamination(odd, items, nothing, limit):
     assert not any(r["contaminated"] for r in decontamination.contamination(odd, items.limit(0)).collect())
 
 
+def test_contamination_of_repeated_and_null_ids(spark, items):
+    texts = [ODD[15], "clean text", None, "a b c d e f", "word", ODD[15], "Nine ten eleven and more", "nothing else", LONG]
+    ids = [1, 1, 1, 2, 2, None, None, None, None]
+    rows = spark.createDataFrame([*zip(ids, texts)] * 2, "doc_id long, text string")
+    one, many, single = (
+        sorted(map(repr, decontamination.contamination(rows, items, limit).collect()))
+        for limit in (decontamination.MAX_WINDOWS, 7, 1)
+    )
+    assert len(one) == 2 * len(texts) and one == many == single
+    # each text is judged by itself
+    apart = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    alone = by_id(decontamination.contamination(apart, items, 7))
+    expected = [r.asDict() | {"doc_id": ids[i]} for i, r in alone.items()] * 2
+    got = [r.asDict() for r in decontamination.contamination(rows, items, 7).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, expected))
+
+
 def test_removing_documents_and_spans(odd, items):
     hit = {i for i, r in by_id(decontamination.contamination(odd, items)).items() if r["contaminated"]}
     assert set(by_id(decontamination.decontaminate(odd, items))) == set(range(len(ODD))) - hit

@@ -3,7 +3,7 @@
 Each benchmark item is cut into windows of ten words (a shorter item is one window). Their
 hashes go to every task as a sorted array behind a bit table; documents are scanned window
 by window, and each hit is verified word by word. When the benchmarks have more windows than
-MAX_WINDOWS, they are scanned in blocks of that many, and the hits of a document are united.
+MAX_WINDOWS, they are scanned in blocks of that many, and the hits of a document row are united.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import written
-from .tables import joined
+from .tables import joined, keyed
 from .text import ALNUM, FOLD, pieces, runs, text_bytes, words
 
 WINDOW = 10
@@ -101,30 +101,31 @@ def _blocks(windows: list[pa.Table]) -> list[_Block]:
 
 
 def _scan(batches: Iterator[pa.RecordBatch], windows: pa.Table) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) to (doc_id, words, hit runs as [from, to, ...], items)."""
+    """(..., text) to (..., words, hit runs as [from, to, ...], items)."""
     blocks = _blocks([windows])
     for batch in batches:
-        data, offsets = text_bytes(batch.column(1))
+        *carried, text = batch.columns
+        data, offsets = text_bytes(text)
         for first, last in pieces(offsets):
             part = FOLD[data[offsets[first] : offsets[last]]]
             w = words(part, offsets[first : last + 1], ALNUM)
             change = np.zeros(len(w.hashes) + 1, dtype=np.int64)
             items: list[set[int]] = [set() for _ in range(last - first)]
             for block in blocks:
-                for text, start, ids in block.find(part, w):
+                for at, start, ids in block.find(part, w):
                     change[start] += 1
                     change[start + block.length] -= 1
-                    items[text].update(ids)
+                    items[at].update(ids)
             hit = np.cumsum(change)[:-1] > 0
             hit_runs = [_runs_of(hit[a:b]) for a, b in zip(w.first[:-1], w.first[1:])]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).slice(first, last - first),
+                    *(c.slice(first, last - first) for c in carried),
                     pa.array(w.per_text.astype(np.int64)),
                     pa.array(hit_runs, _LISTS),
                     pa.array([sorted(x) for x in items], _LISTS),
                 ],
-                names=["doc_id", "n_words", "hits", "items"],
+                names=[*batch.schema.names[:-1], "n_words", "hits", "items"],
             )
 
 
@@ -177,30 +178,35 @@ def contamination(docs: DataFrame, benchmark: DataFrame, max_windows: int = MAX_
     with a window in the document), items_sha256, contaminated, and hit_runs, the hit words
     as [from, to, from, to, ...]. A null or wordless text has no words and no hits; a null
     or wordless item has no windows; an item without an id makes hits but isn't listed. No
-    items give no hits. Other columns are ignored. Repeated document rows are reported each
-    while one block is enough, and together otherwise.
+    items give no hits. Other columns are ignored. Every document row is reported, whatever
+    ids repeat or are null and however many blocks there are.
     """
     windows = written(benchmark_windows(benchmark))
     blocks = max(1, -(-windows.count() // max_windows))
+    # what several scans find is united by row
+    rows = docs.select("doc_id", "text") if blocks == 1 else keyed(docs, "doc_id", "text")
+    carried = "doc_id long" if blocks == 1 else "_row long, doc_id long"
     parts = []
     for k in range(blocks):
         block = windows if blocks == 1 else windows.where(F.pmod("hash", F.lit(blocks)) == k)
         held = docs.sparkSession.sparkContext.broadcast(block.toArrow())
         parts.append(
-            docs.select("doc_id", "text").mapInArrow(
+            rows.mapInArrow(
                 lambda b, held=held: _scan(b, held.value),
-                "doc_id long, n_words long, hits array<long>, items array<long>",
+                f"{carried}, n_words long, hits array<long>, items array<long>",
             )
         )
     scanned = parts[0]
     if blocks > 1:
         for part in parts[1:]:
             scanned = scanned.union(part)
-        scanned = scanned.groupBy("doc_id").agg(
+        scanned = scanned.groupBy("_row").agg(
+            F.first("doc_id").alias("doc_id"),
             F.max("n_words").alias("n_words"),
             F.flatten(F.collect_list("hits")).alias("hits"),
             F.flatten(F.collect_list("items")).alias("items"),
         )
+        scanned = scanned.drop("_row")
     return scanned.mapInArrow(_report, _REPORT)
 
 
