@@ -597,6 +597,31 @@ def test_sampling(docs, odd, nothing):
     assert mixing.sampled(nothing).count() == mixing.mixed(nothing).count() == 0
 
 
+def test_many_cells_are_raked_by_all_tasks(spark, docs, monkeypatch):
+    cells = mixing.written(mixing.cells_of(mixing.weighted(docs)))
+    few = mixing.rake(cells)
+    monkeypatch.setattr(mixing, "_ONE_TASK", 0)
+    many = mixing.rake(cells)
+    one, all_tasks = ({tuple(r[m] for m in mixing.MARGINS): r["weight"] for r in x.collect()} for x in (few, many))
+    assert one == pytest.approx(all_tasks, rel=1e-6)
+    assert few.first()["off"] <= mixing.TOLERANCE and many.first()["off"] <= mixing.TOLERANCE
+    for raked in (few, many):
+        plan = mixing.probabilities(raked)._jdf.queryExecution().toString()
+        assert "Window" not in plan and "SinglePartition" not in plan
+
+
+@pytest.mark.parametrize("one_task", [mixing._ONE_TASK, 0])
+def test_targets_that_cannot_be_met_are_reported(spark, monkeypatch, one_task):
+    monkeypatch.setattr(mixing, "_ONE_TASK", one_task)
+    cells = [("a", "d", "f", 10, 1), ("b", "e", "f", 10, 1)]
+    frame = spark.createDataFrame(cells, "source string, lang string, topic string, tokens long, docs long")
+    aims = {"source": {"a": 0.9, "b": 0.1}, "lang": {"d": 0.5, "e": 0.5}, "topic": {"f": 1.0}}
+    targets = {m: spark.createDataFrame(list(v.items()), f"{m} string, target double") for m, v in aims.items()}
+    with pytest.warns(UserWarning, match="off its target"):
+        raked = mixing.rake(frame, targets, max_rounds=5).collect()
+    assert [r["off"] for r in raked] == [pytest.approx(0.4)] * 2
+
+
 # -- all ----------------------------------------------------------------------------------
 
 

@@ -13,6 +13,8 @@ cells, whose size follows the number of sources and not of documents.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +29,7 @@ TOLERANCE = 1e-6
 SMOOTHING = 0.7
 # Share of all tokens that is to be kept, as far as probabilities up to 1 allow.
 KEEP = 0.8
-# Cells that one task rakes; more are shuffled by margin.
+# Cells that one task rakes; the factors of more are worked out by aggregates over all tasks.
 _ONE_TASK = 200_000
 
 
@@ -63,7 +65,37 @@ def smoothed_targets(cells: DataFrame, margin: str, power: float = SMOOTHING) ->
     """(margin, target): shares of all tokens, each the present share to a power."""
     sums = cells.groupBy(margin).agg(F.sum("tokens").alias("t")).where("t > 0")
     raised = F.pow(F.col("t").cast("double"), F.lit(power))
-    return sums.select(margin, (raised / F.sum(raised).over(Window.partitionBy(F.lit(0)))).alias("target"))
+    total = sums.agg(F.sum(raised)).first()[0]
+    return sums.select(margin, (raised / F.lit(total)).alias("target"))
+
+
+def _rounds_in_one_task(now: DataFrame) -> DataFrame:
+    now = now.coalesce(1)
+    for _ in range(ROUNDS):
+        for m in MARGINS:
+            sums = F.sum("weight").over(Window.partitionBy(m))
+            now = now.withColumn("weight", F.when(sums > 0, F.col("weight") * F.col(f"_{m}") / sums).otherwise(0.0))
+    return now
+
+
+def _rounds_by_factors(now: DataFrame) -> DataFrame:
+    """The same rounds, as one factor per value of each margin; cells are never dealt by a margin."""
+    factors: dict[str, tuple[DataFrame, int]] = {}
+
+    def weighed(margins: list[str]) -> DataFrame:
+        out, weight = now, F.col("weight")
+        for m in margins:
+            if m in factors:
+                out = joined(out, factors[m][0], m, "left", factors[m][1])
+                weight = weight * F.col(f"_by_{m}")
+        return out.withColumn("weight", weight).select(now.columns)
+
+    for _ in range(ROUNDS):
+        for m in MARGINS:
+            sums = weighed([x for x in MARGINS if x != m]).groupBy(m).agg(F.sum("weight").alias("s"), F.first(f"_{m}").alias("aim"))
+            by = written(sums.select(m, F.when(F.col("s") > 0, F.col("aim") / F.col("s")).otherwise(0.0).alias(f"_by_{m}")))
+            factors[m] = (by, by.count())
+    return weighed(MARGINS)
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, max_rounds: int = MAX_ROUNDS) -> DataFrame:
@@ -73,66 +105,64 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, max_roun
     up to 1, they are scaled. Values without a target weigh nothing. Without ``targets`` they
     are the smoothed shares. Stops when every margin is met to TOLERANCE, or after
     ``max_rounds``: targets that the cells can't meet together leave the last margin exact.
+    ``off`` is the largest difference between a value's weight and its target that is left; a
+    warning tells when it is above TOLERANCE.
     """
     targets = targets or {m: smoothed_targets(cells, m) for m in MARGINS}
     now = cells.where("tokens > 0")
     for m in MARGINS:
         aim = targets[m].select(m, F.col("target").cast("double").alias(f"_{m}"))
         now = now.join(aim, m, "left").fillna(0.0, [f"_{m}"])
-    every = Window.partitionBy(F.lit(0))
-    now = now.withColumn("weight", F.col("tokens") / F.sum("tokens").over(every))
-    now = written(now)
-    small = now.count() <= _ONE_TASK
-    # a value's share among the values that occur
-    for m in MARGINS:
-        first = F.row_number().over(Window.partitionBy(m).orderBy(*MARGINS)) == 1
-        total = F.sum(F.when(F.col("_first"), F.col(f"_{m}"))).over(every)
-        now = (now.coalesce(1) if small else now).withColumn("_first", first)
-        now = now.withColumn(f"_{m}", F.col(f"_{m}") / total).drop("_first")
     now = written(now)
+    n, total = now.agg(F.count(F.lit(1)), F.sum("tokens")).first()
+    step = _rounds_in_one_task if n <= _ONE_TASK else _rounds_by_factors
+    columns = {"weight": F.col("tokens") / F.lit(total)}
+    for m in MARGINS:  # a value's share among the values that occur
+        every = now.groupBy(m).agg(F.first(f"_{m}").alias("aim")).agg(F.sum("aim")).first()[0]
+        columns[f"_{m}"] = F.col(f"_{m}") / F.lit(every) if every else F.lit(0.0)
+    now = now.withColumns(columns)
+    now = written(now.coalesce(1) if n <= _ONE_TASK else now)
+    most = None
     for _ in range(0, max_rounds, ROUNDS):
-        if small:
-            now = now.coalesce(1)
-        for _ in range(ROUNDS):
-            for m in MARGINS:
-                sums = F.sum("weight").over(Window.partitionBy(m))
-                now = now.withColumn("weight", F.when(sums > 0, F.col("weight") * F.col(f"_{m}") / sums).otherwise(0.0))
-        now = written(now)
+        now = written(step(now))
         off = [
             now.groupBy(m).agg(F.abs(F.sum("weight") - F.first(f"_{m}")).alias("off")).agg(F.max("off")).first()[0]
             for m in MARGINS
         ]
-        if max((x or 0.0) for x in off) <= TOLERANCE:
+        most = max((x or 0.0) for x in off)
+        if most <= TOLERANCE:
             break
-    return now.select(*MARGINS, "tokens", "docs", "weight")
+    else:
+        warnings.warn(f"after {max_rounds} rounds a margin is off its target by {most}", stacklevel=2)
+    return now.select(*MARGINS, "tokens", "docs", "weight", F.lit(most).cast("double").alias("off"))
 
 
 def probabilities(raked: DataFrame, keep: float = KEEP) -> DataFrame:
     """``raked`` cells with the probability that keeps a document of the cell.
 
-    The factor c solves sum(min(tokens, c * weight)) = keep * sum(tokens); cells in the order
-    of tokens / weight reach probability 1 one after the other.
+    The factor c solves sum(min(tokens, c * weight)) = keep * sum(tokens). The sum is concave in
+    c and made of straight pieces: from c = 0, the root of the piece at c is the next c, which
+    grows until no more cells reach probability 1. Each step is one aggregate over the cells.
     """
-    order = Window.orderBy(F.col("tokens") / F.col("weight"), *MARGINS)
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy(F.lit(0))
     live = raked.where("weight > 0")
-    live = live.withColumns(
-        {
-            "_full": F.coalesce(F.sum("tokens").over(before), F.lit(0)),
-            "_open": F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)),
-            "_aim": keep * F.sum("tokens").over(every),
-        }
-    )
-    live = live.withColumn("_c", (F.col("_aim") - F.col("_full")) / F.col("_open"))
-    # the first cell that the factor of its place doesn't fill ends the filled ones
-    fits = F.min(F.when(F.col("_c") * F.col("weight") <= F.col("tokens"), F.struct(F.col("tokens") / F.col("weight"), F.col("_c").alias("c"))))
-    factor = fits.over(every)["c"]
-    live = live.withColumn("_factor", factor)
-    chance = F.when(F.col("_factor").isNull(), 1.0).otherwise(
-        F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("_factor") * F.col("weight") / F.col("tokens")))
-    )
-    return live.select(*MARGINS, chance.alias("probability"), (F.col("weight")).alias("target_weight"))
+    factor, reached = 0.0, None
+    while factor is not None:
+        full = F.lit(factor) * F.col("weight") > F.col("tokens")
+        cells, tokens, filled, open_ = live.agg(
+            F.sum(full.cast("long")),
+            F.sum("tokens"),
+            F.sum(F.when(full, F.col("tokens")).otherwise(0)),
+            F.sum(F.when(~full, F.col("weight"))),
+        ).first()
+        if cells is None or (reached is not None and cells <= reached):
+            break
+        reached = cells
+        factor = (keep * tokens - filled) / open_ if open_ else None
+    if factor is None:
+        chance = F.lit(1.0)
+    else:
+        chance = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.lit(factor) * F.col("weight") / F.col("tokens")))
+    return live.select(*MARGINS, chance.alias("probability"), F.col("weight").alias("target_weight"))
 
 
 def uniform(doc_id: Column, seed: int) -> Column:
