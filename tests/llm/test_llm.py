@@ -20,6 +20,7 @@ from tidepool.llm import (
     robust_outliers,
     secrets,
     severity,
+    text,
     token_files,
 )
 from tidepool.llm.queries import oracle_sql, queries, tokenizer_path
@@ -633,6 +634,66 @@ def test_registered_queries_and_their_sql(spark, name):
     same(queries()[name](spark, SMALL), con, oracle_sql()[name])
 
 
+def test_texts_longer_than_a_piece(spark, docs, tmp_path):
+    """One text alone exceeds text.PIECE, in every operator."""
+    from hashlib import sha256
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    very = "lorem ipsum dolor " * 40_000
+    made = ["word", very, very + "end token=abcdefgh", None, f"x\n{very}", "lorem ipsum été"]
+    assert len(very) > 2 * text.PIECE
+    rows = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(made)], SCHEMA)
+    texts = dict(enumerate(made))
+    split = {i: re.findall(SPACED, t or "") for i, t in texts.items()}
+
+    got = {i: (r["n_shingles"], r["component_id"]) for i, r in by_id(jaccard_join.similar_groups(rows)).items()}
+    assert got == brute_groups(texts)
+
+    window = split[1][1:11]
+    items = spark.createDataFrame([(1, " ".join(window))], "item_id long, text string")
+    for i, r in by_id(decontamination.contamination(rows, items)).items():
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (texts[i] or "").translate(FOLD))
+        hit = {j for k in range(len(w) - 9) if w[k : k + 10] == window for j in range(k, k + 10)}
+        assert (r["n_words"], r["n_hit"], r["contaminated"]) == (len(w), len(hit), bool(hit)), i
+
+    removed = {r["doc_id"]: r["removed"] for r in line_dedup.repeated_lines(rows, short_runs=True).collect()}
+    assert removed == brute_removed(texts) == {4: [1]}
+
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    for i, r in by_id(robust_outliers.judged(rows)).items():
+        assert tuple(r[n] for n in names) == brute_statistics(texts[i]), i
+
+    for i, r in by_id(secrets.secret_spans(rows)).items():
+        assert r["base_sha256"] == sha256(",".join(brute_spans(texts[i] or "")).encode()).hexdigest()
+
+    learned = ["lorem ipsum", "dolor sit"]
+    forest = language_id.train(spark.createDataFrame([(1, learned[0], "aa"), (2, learned[1], "bb")], "doc_id long, text string, lang string"))
+    for first, last, code, where in language_id._normal(pa.array(made, pa.string())):
+        bits = forest.code_lengths(code, where)
+        for k in range(first, last):
+            expected = [brute_bits([t], texts[k] or "") for t in learned]
+            assert np.allclose(bits[k - first], expected, rtol=1e-5, atol=1e-3), k
+    assert by_id(language_id.predict(rows, forest))[1]["lang_pred"] == "aa"
+
+    assert {i: r["tokens"] for i, r in by_id(mixing.weighted(rows)).items()} == {i: len(w) for i, w in split.items()}
+
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    for r in quality_fm.score(rows, quality_fm.train(docs, labels, "quality")).collect():
+        assert 0 <= r["score"] <= 1
+    severities = severity.score(rows, severity.train(docs, labels, "toxic", flags=True)).collect()
+    assert len(severities) == len(made) and all(np.isfinite(r["expected_severity"]) for r in severities)
+
+    token_files.write_tokens(rows, str(tmp_path / "t"), tokenizer_path())
+    tokenizer, expected, start = Tokenizer.from_file(tokenizer_path()), [], 0
+    for i, t in texts.items():
+        ids = np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], dtype="<u4")
+        expected.append((i, start, len(ids), crc32(ids.tobytes())))
+        start += len(ids)
+    assert sorted(map(tuple, token_files.read_tokens(spark, str(tmp_path / "t")).collect())) == expected
+
+
 def test_plain_functions_for_native_operators(docs, spark):
     for df in (robust_outliers.base_statistics(docs), mixing.weighted(docs), line_dedup.without_repeated_lines(docs)):
         plan = df._jdf.queryExecution().toString()
