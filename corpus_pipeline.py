@@ -14,7 +14,7 @@ from tidepool.sources.scratch import application_dir
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known; the others have no letters, or resemble none."""
+    """Documents with a language; the others have no letters, or fit two languages alike."""
     return language_id.keep_identified(docs, language_id.train(docs))
 
 

@@ -292,6 +292,11 @@ def predict(docs: DataFrame, trees: Forest | None) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, trees: Forest | None, min_score: float = MIN_SCORE) -> DataFrame:
-    """``docs`` without rows of no known language, or of one with a score below the minimum."""
+    """``docs`` without rows of no known language, or of one with a score below the minimum.
+
+    The score compares the learned languages with each other, and all but a few bytes of text
+    settle it near 1. So what goes is texts without a letter and near ties; a text in a language
+    that wasn't learned, or letters without meaning, stays under the nearest language.
+    """
     out = written(predict(docs, trees).where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < min_score)))
     return joined(docs, out.select("doc_id"), "doc_id", "left_anti", out.count())
