@@ -128,3 +128,27 @@ def test_volume_anomalies(spark):
     assert report[1]["trailing_mean"] is None and not report[1]["is_anomaly"]
     assert not report[7]["is_anomaly"] and report[7]["below_minimum"]
     assert report[8]["is_anomaly"] and report[8]["deviation_pct"] == 200.0 and not report[8]["below_minimum"]
+
+
+def test_days_without_events_are_anomalies(spark):
+    """The seven days before are days of the calendar, not days that have rows."""
+    rows = [("u", f"2024-01-{d:02d}", "facebook", "like") for d in (1, 3, 4) for _ in range(1000 if d < 4 else 10)]
+    report = {r["date_key"].day: r for r in quality.volume_anomalies(facts(spark, rows)).collect()}
+    assert [report[d]["events"] for d in (1, 2, 3, 4)] == [1000, 0, 1000, 10]
+    assert report[2]["is_anomaly"] and report[2]["below_minimum"] and report[2]["deviation_pct"] == -100.0
+    assert report[3]["trailing_mean"] == 500.0 and report[3]["is_anomaly"]
+    assert report[4]["trailing_median"] == 1000.0 and report[4]["trailing_mean"] == 666.67
+    # after nothing at all, any event is one
+    rows = [("u", d, "facebook", "like") for d in ("2024-01-01", "2024-01-20")]
+    report = {r["date_key"].day: r for r in quality.volume_anomalies(facts(spark, rows)).collect()}
+    assert len(report) == 20 and report[20]["trailing_mean"] == 0.0 and report[20]["is_anomaly"]
+    assert not report[15]["is_anomaly"]
+    assert quality.volume_anomalies(facts(spark, []), minimum=1).count() == 0
+
+
+def test_outliers_are_measured_by_medians(spark):
+    counts = [100, 104, 96, 900, 102, 98, 101, 106, 180]
+    rows = [("u", f"2024-01-{d:02d}", "facebook", "like") for d, n in enumerate(counts, 1) for _ in range(n)]
+    report = [r for r in quality.volume_anomalies(facts(spark, rows)).orderBy("date_key").collect()]
+    assert [i for i, r in enumerate(report, 1) if r["is_outlier"]] == [2, 4, 9]
+    assert report[7]["is_anomaly"] and report[7]["trailing_median"] == 101.0  # the mean is moved by one day

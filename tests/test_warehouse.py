@@ -67,6 +67,36 @@ def test_encodings_of_times(spark, tmp_path, unit):
     assert [r["signup_date"] for r in users.orderBy("user_id").collect()] == times
 
 
+def test_days_and_files_of_different_types(spark, tmp_path):
+    """Microseconds, nanoseconds, text and a day without a column, also within one day."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    time = dt.datetime(2024, 1, 5, 1, 2, 3)
+    names = ["event_id", "user_id", "event_type", "platform", "country", "device_type", "session_id"]
+
+    def write(day, part, unit, lacking=()):
+        stamp = pa.array([str(time)]) if unit == "text" else pa.array([time], pa.timestamp(unit))
+        table = pa.table({n: [f"{day}{part}"] for n in names if n not in lacking} | {"event_timestamp": stamp})
+        folder = tmp_path / "events" / f"dt=2024-01-{day:02d}"
+        folder.mkdir(parents=True, exist_ok=True)
+        pq.write_table(table, folder / f"{part}.parquet")
+
+    parts = [(1, "a", "us"), (2, "a", "text"), (3, "a", "us"), (4, "a", "ns"), (4, "b", "us"), (4, "c", "text"), (5, "a", "us")]
+    for day, part, unit in parts:
+        write(day, part, unit, ("device_type",) if day == 5 else ())
+    (tmp_path / "events" / "dt=2024-01-06").mkdir()
+    found = raw.extract_events(spark, str(tmp_path), with_source=True)
+    rows = {r["event_id"]: (r["event_timestamp"], r["source_date"].day, r["device_type"]) for r in found.collect()}
+    assert rows == {f"{d}{p}": (time, d, None if d == 5 else f"{d}{p}") for d, p, _ in parts}
+    assert found.columns == raw.extract_events(spark, str(tmp_path), "2031-01-01", with_source=True).columns
+    # one scan for each set of types: times as microseconds with and without a column are one
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 3
+    empty = raw.extract_events(spark, str(tmp_path), "2024-01-06")
+    assert empty.count() == 0 and empty.columns == raw.extract_events(spark, str(tmp_path), "2024-01-01").columns
+
+
 def test_missing_raw_files(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         raw.extract_users(spark, str(tmp_path)).count()

@@ -25,7 +25,7 @@ def _pick(values: list[str], number: str) -> str:
     return f"list_extract({_list(values)}, CAST({number} % {len(values)} + 1 AS INT))"
 
 
-def _ctes(as_of: str, day: str) -> dict[str, tuple[list[str], str]]:
+def _ctes(as_of: str, day: str, redelivered: str) -> dict[str, tuple[list[str], str]]:
     """name -> (CTEs it reads, body)."""
     user_columns = f"""
         CAST(c_custkey AS VARCHAR) AS user_id, n_name AS country,
@@ -38,7 +38,7 @@ def _ctes(as_of: str, day: str) -> dict[str, tuple[list[str], str]]:
     segment = _pick(SEGMENTS, "c_custkey % 9")
     k = "CAST(json_extract_string(props, '$.k') AS INT)"
     cohort = "CAST(date_trunc('week', signup_date) AS DATE)"
-    return {
+    ctes = {
         "raw_users": (
             [],
             f"SELECT {user_columns.replace('SEGMENT', segment)}",
@@ -102,6 +102,26 @@ def _ctes(as_of: str, day: str) -> dict[str, tuple[list[str], str]]:
                CAST(event_timestamp AS DATE) AS _partition_date
                FROM clean c JOIN dim_users u USING (user_id)""",
         ),
+        # every day from the first to the last, also those without facts
+        "per_day": (
+            ["fct_events"],
+            """SELECT s.date_key, coalesce(n, 0) AS events
+               FROM (SELECT CAST(unnest(generate_series(min(date_key), max(date_key), INTERVAL 1 DAY)) AS DATE) AS date_key FROM fct_events) s
+               LEFT JOIN (SELECT date_key, count(*) AS n FROM fct_events GROUP BY date_key) USING (date_key)""",
+        ),
+        # raw events by the day that delivered them, less the odd ones of the day in question
+        "delivered": (
+            ["numbered"],
+            f"""SELECT * EXCLUDE (n, own) FROM (
+                  SELECT *, own + CASE WHEN n % 17 = 0 THEN 1 WHEN n % 19 = 0 THEN -1 ELSE 0 END AS delivered FROM numbered
+                  UNION ALL SELECT * REPLACE (event_timestamp + INTERVAL 1 DAY AS event_timestamp), own + 1 FROM numbered WHERE n % 23 = 0)
+                WHERE event_id IS NOT NULL AND NOT (delivered = DATE '{redelivered}' AND n % 2 = 1)""",
+        ),
+        "numbered": (
+            ["raw_events"],
+            """SELECT *, coalesce(CAST(event_id AS BIGINT), 0) AS n,
+                 coalesce(CAST(event_timestamp AS DATE), DATE '2024-01-01') AS own FROM raw_events""",
+        ),
         "active": (
             ["fct_events", "dim_event_type"],
             "SELECT user_key, date_key FROM fct_events SEMI JOIN "
@@ -214,6 +234,13 @@ def _ctes(as_of: str, day: str) -> dict[str, tuple[list[str], str]]:
             _suite(),
         ),
     }
+    # the facts' definition over delivered events
+    for name, source in (("first_events", "raw_events"), ("clean", "first_events"), ("fct_events", "clean")):
+        needs, body = ctes[name]
+        of = "delivered" if source == "raw_events" else f"{source}_delivered"
+        needs = [of if n == source else n for n in needs]
+        ctes[f"{name}_delivered"] = (needs, body.replace(f"FROM {source}", f"FROM {of}"))
+    return ctes
 
 
 def _suite() -> str:
@@ -390,9 +417,11 @@ def _bodies(as_of: str, start: str, day: str, load_date: str, raw_range: tuple[s
         ),
         "fct_events": (["fct_events"], "FROM fct_events"),
         "incremental_facts": (["fct_events"], "FROM fct_events"),
+        "interrupted_load": (["fct_events_delivered"], "FROM fct_events_delivered"),
         "raw_events_range": in_range,
         "raw_events_text_times": in_range,
         "raw_events_number_times": in_range,
+        "raw_events_mixed_times": in_range,
         "raw_days": (
             ["raw_events"],
             "SELECT DISTINCT CAST(event_timestamp AS DATE) AS dt FROM raw_events WHERE event_timestamp IS NOT NULL",
@@ -717,11 +746,18 @@ def _bodies(as_of: str, start: str, day: str, load_date: str, raw_range: tuple[s
                           FROM agg_daily_metrics GROUP BY date_key) USING (date_key)""",
         ),
         "dq_volume_anomaly": (
-            ["fct_events"],
+            ["per_day"],
             f"""SELECT date_key, events, round(m, 2) AS trailing_mean, {pct("(events - m)", "m")} AS deviation_pct,
-                coalesce(abs(events - m) * 100 > m * 50, FALSE) AS is_anomaly, events < 1000 AS below_minimum
-                FROM (SELECT *, avg(events) OVER (ORDER BY date_key ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS m
-                      FROM (SELECT date_key, count(*) AS events FROM fct_events GROUP BY date_key))""",
+                CASE WHEN m IS NULL THEN FALSE WHEN m = 0 THEN events > 0 ELSE abs(events - m) * 100 > m * 50 END AS is_anomaly,
+                events < 1000 AS below_minimum, trailing_median,
+                coalesce(abs(events - trailing_median) > 3 * 1.4826::DOUBLE * spread, FALSE) AS is_outlier
+                FROM (
+                  SELECT d.date_key, any_value(d.events) AS events, avg(e.events) AS m, median(e.events) AS trailing_median,
+                    coalesce(median(abs(e.events - e.middle)), 0) AS spread
+                  FROM per_day d LEFT JOIN (
+                    SELECT p.date_key AS of, q.events, median(q.events) OVER (PARTITION BY p.date_key) AS middle
+                    FROM per_day p JOIN per_day q ON q.date_key BETWEEN p.date_key - 7 AND p.date_key - 1) e ON e.of = d.date_key
+                  GROUP BY d.date_key)""",
         ),
     }
 
@@ -730,7 +766,7 @@ def oracle_queries(
     as_of: str, start: str, day: str, load_date: str, raw_range: tuple[str, str]
 ) -> dict[str, str]:
     """query -> SQL text, each with the CTEs it needs in front."""
-    ctes = _ctes(as_of, day)
+    ctes = _ctes(as_of, day, raw_range[0])
 
     def needed(names: list[str]) -> list[str]:
         ordered: list[str] = []

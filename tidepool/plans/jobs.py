@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import functools
 import time
 from collections.abc import Sequence
 
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import DateLike, day
 from ..operators.activity import user_activity
 from ..operators.dedup import repeated_keys
+from ..operators.membership import key_filters, possible_groups
 from ..operators.scd2 import scd2_merge
 from ..schemas import TABLES
 from ..sources import raw as raw_source
@@ -47,17 +47,23 @@ def _staged(events: DataFrame) -> DataFrame:
     return typed.where("event_id IS NOT NULL")
 
 
-def _load_facts(
+def load_facts(
     warehouse: Warehouse, events: DataFrame, users: DataFrame, as_of: dt.datetime | str | None
 ) -> dict[str, int]:
-    """Stage, clean, resolve and write all events; returns the row counts on the way."""
+    """Stage, clean, resolve and write all events; returns the row counts on the way.
+
+    Staging, its filters and the facts change together or not at all.
+    """
     counts: dict[str, Observation] = {}
-    warehouse.replace("stg_events", _staged(_counted(events, counts, "events")))
-    staged = warehouse.read("stg_events").drop("source_date")
+    warehouse.prepare("stg_events", _staged(_counted(events, counts, "events")))
+    staged = warehouse.prepared("stg_events", "whole")
+    warehouse.prepare("stg_id_filters", key_filters(staged, "source_date", "event_id"))
+    staged = staged.drop("source_date")
     repeated = repeated_keys(staged, "event_id")
     clean = _counted(etl.clean_events(staged, as_of, repeated), counts, "clean_events")
     fact = etl.build_fact_events(clean, users, hot_from=staged)
-    warehouse.replace("fct_events", _counted(fact, counts, "fact_events"))
+    warehouse.prepare("fct_events", _counted(fact, counts, "fact_events"))
+    warehouse.commit("stg_events.whole", "stg_id_filters.whole", "fct_events.whole")
     rows = _rows(counts)
     rows["unknown_user_events"] = rows["clean_events"] - rows["fact_events"]
     return rows
@@ -123,7 +129,7 @@ def refresh(
     counts: dict[str, Observation] = {}
     dimension = _counted(etl.build_user_dimension(users), counts, "users")
     warehouse.load_dimension(dimension, "dim_users")
-    rows = _rows(counts) | _load_facts(
+    rows = _rows(counts) | load_facts(
         warehouse,
         events,
         warehouse.read("dim_users"),
@@ -131,6 +137,7 @@ def refresh(
     )
     build_activity(warehouse)
     build_daily_metrics(warehouse)
+    warehouse.clear_stale(warehouse.stale_days())
     report_date = build_user_aggregates(warehouse)
     checks = _summary(quality.run_checks(_tables(warehouse)))
     stats = {r["table_name"]: r["row_count"] for r in warehouse.table_stats().collect()}
@@ -166,6 +173,35 @@ def _days(*frames: DataFrame) -> list[dt.date]:
     return sorted(row[0] for row in both.distinct().collect() if row[0] is not None)
 
 
+def _copies(
+    warehouse: Warehouse, ids: DataFrame, dates: list[dt.date], copies_within: int | None
+) -> DataFrame:
+    """(source_date, event_id): where ids may have copies in staged raw days other than ``dates``.
+
+    Only the days' filters are read, and the ids of days that have none.
+    """
+    others = [
+        d
+        for d in warehouse.days("stg_events")
+        if d not in dates and (copies_within is None or min(abs(d - x) for x in dates).days <= copies_within)
+    ]
+    filtered = set(warehouse.days("stg_id_filters"))
+    known = F.col("source_date").isin([day(d) for d in others if d in filtered])
+    found = possible_groups(warehouse.read("stg_id_filters").where(known), "source_date", ids, "event_id")
+    bare = [d for d in others if d not in filtered]
+    if bare:
+        rows = warehouse.read("stg_events").where(F.col("source_date").isin([day(d) for d in bare]))
+        found = found.unionByName(rows.select("source_date", "event_id").join(ids, "event_id", "left_semi").distinct())
+    return written(found)
+
+
+def _staged_copies(warehouse: Warehouse, copies: DataFrame) -> DataFrame:
+    """The staged events of the ids in ``copies``, from scans of the days named there alone."""
+    days = _days(copies.select("source_date"))
+    rows = warehouse.read("stg_events").where(F.col("source_date").isin([day(d) for d in days]))
+    return rows.join(copies.select("event_id").distinct(), "event_id", "left_semi")
+
+
 def load_days(
     warehouse: Warehouse,
     raw_dir: str,
@@ -178,28 +214,28 @@ def load_days(
     After it the facts are those of a full run over all raw days loaded so far, in whatever
     order and however often: the events of the given days, before and after, are compared
     with their copies in other raw days and the first of each id is taken anew. Copies are
-    looked for in all raw days, or only in those within ``copies_within`` days. Only event
-    days that such an event belongs to are written, in one go.
+    looked for in all raw days, or only in those within ``copies_within`` days; a day is
+    opened when its id filter answers. Only event days that such an event belongs to are
+    written.
+
+    Staging, filters and facts are prepared beside the tables and committed at once. A load cut
+    off before that has changed nothing, so running it again finds the old events of its days;
+    one cut off later is completed by the next access. The days whose aggregates must follow
+    are noted in the warehouse before the commit and stay so until they have been refreshed.
     """
     dates = [dt.date.fromisoformat(str(d)) for d in dates]
     chosen = F.col("source_date").isin([day(d) for d in dates])
     event_day = F.to_date("event_timestamp").alias("event_day")
     events = raw_source.extract_events(warehouse.spark, raw_dir, min(dates), max(dates), with_source=True)
-    new = _staged(events).where(chosen)
+    warehouse.prepare_days("stg_events", _staged(events).where(chosen), dates)
+    new = warehouse.prepared("stg_events")  # the raw files may change while this runs
+    warehouse.prepare_days("stg_id_filters", key_filters(new, "source_date", "event_id"), dates)
+
     before = warehouse.read("stg_events").where(chosen)
     looked_at = written(before.select("event_id", event_day).union(new.select("event_id", event_day)).distinct())
     ids = looked_at.select("event_id").distinct()
-    warehouse.replace_days("stg_events", new, dates)
-
-    staged = warehouse.read("stg_events")
-    others = staged.where(~chosen)
-    if copies_within is not None:
-        near = [F.abs(F.datediff("source_date", day(d))) <= copies_within for d in dates]
-        others = others.where(functools.reduce(lambda a, b: a | b, near))
-    # a scan of two columns finds the raw days with copies; mostly there are none
-    copied = _days(others.select("event_id", "source_date").join(ids, "event_id", "left_semi").select("source_date"))
-    involved = staged.where(F.col("source_date").isin([day(d) for d in [*dates, *copied]]))
-    rows = involved.join(ids, "event_id", "left_semi").drop("source_date")
+    rows = new.unionByName(_staged_copies(warehouse, _copies(warehouse, ids, dates, copies_within)))
+    rows = rows.drop("source_date")
     clean = etl.clean_events(rows, as_of, repeated_keys(rows, "event_id"))
     fact = written(etl.build_fact_events(clean, warehouse.read("dim_users"), hot_from=rows))
 
@@ -207,10 +243,14 @@ def load_days(
     present = warehouse.read("fct_events").where(F.col("date_key").isin([day(d) for d in sorted(possible)]))
     replaced = present.join(ids, "event_id", "left_semi").select("date_key")
     touched = _days(replaced, fact.select("date_key"))
+    parts = ["stg_events.days", "stg_id_filters.days"]
     if touched:
         kept = warehouse.read("fct_events").where(F.col("date_key").isin([day(d) for d in touched]))
         kept = kept.join(ids, "event_id", "left_anti")
-        warehouse.replace_days("fct_events", kept.unionByName(fact.select(kept.columns)), touched)
+        warehouse.prepare_days("fct_events", kept.unionByName(fact.select(kept.columns)), touched)
+        parts.append("fct_events.days")
+    warehouse.mark_stale(touched)
+    warehouse.commit(*parts)
     return touched
 
 
@@ -225,6 +265,7 @@ def _refresh_days(warehouse: Warehouse, dates: list[dt.date]) -> None:
         warehouse.read("user_activity").where(within), fact, warehouse.read("dim_users"), etl_form=True
     )
     warehouse.replace_dates("agg_daily_metrics", metrics, dates)
+    warehouse.clear_stale(dates)
 
 
 def merge_users(warehouse: Warehouse, users: DataFrame, date: DateLike) -> None:
@@ -239,15 +280,18 @@ def run_incremental(
     date: DateLike,
     as_of: dt.datetime | str | None = None,
     users: DataFrame | None = None,
+    copies_within: int | None = None,
 ) -> dict:
     """Load one raw day, and users if given, and refresh the aggregates of the days it changed.
 
-    Running it again changes nothing, and the order of days doesn't matter.
+    Running it again changes nothing, and the order of days doesn't matter. Days whose
+    aggregates an earlier run left behind are refreshed as well.
     """
     started = time.monotonic()
     if users is not None:
         merge_users(warehouse, users, date)
-    _refresh_days(warehouse, load_days(warehouse, raw_dir, [date], as_of))
+    load_days(warehouse, raw_dir, [date], as_of, copies_within)
+    _refresh_days(warehouse, warehouse.stale_days())
     return {
         "pipeline": "incremental",
         "date": str(date),
@@ -263,18 +307,20 @@ def run_daily(
     date: DateLike,
     as_of: dt.datetime | str | None = None,
     users: DataFrame | None = None,
+    copies_within: int | None = None,
 ) -> dict:
     """Load one day, check the warehouse, and refresh aggregates only when nothing fails.
 
-    The gate looks at loaded tables; those that it lets be built are not held against it.
+    The gate looks at loaded tables; those that it lets be built are not held against it. A
+    day that it stops is refreshed by the next run that passes.
     """
     if users is not None:
         merge_users(warehouse, users, date)
-    touched = load_days(warehouse, raw_dir, [date], as_of)
+    load_days(warehouse, raw_dir, [date], as_of, copies_within)
     checks = quality.run_checks(_tables(warehouse))
     branch = quality.quality_gate(checks.where(~F.col("table_name").isin(DERIVED)))
     if branch == "build_aggregates":
-        _refresh_days(warehouse, touched)
+        _refresh_days(warehouse, warehouse.stale_days())
     return {
         "pipeline": "daily",
         "date": str(date),

@@ -370,23 +370,43 @@ def reconciliation(fact: DataFrame, daily: DataFrame) -> DataFrame:
     return merged.withColumn("difference", difference).withColumn("status", _passed(difference == 0))
 
 
+def _middle(values: Column) -> Column:
+    """The median of an array of numbers; null of an empty one."""
+    ordered, n = F.array_sort(values), F.size(values)
+    low, high = F.get(ordered, F.floor((n - 1) / 2).cast("int")), F.get(ordered, F.floor(n / 2).cast("int"))
+    return F.when(n > 0, (low.cast("double") + high.cast("double")) / 2)
+
+
 def volume_anomalies(
-    fact: DataFrame, tolerance_pct: float = 50.0, minimum: int = 1000
+    fact: DataFrame, tolerance_pct: float = 50.0, minimum: int = 1000, deviations: float = 3.0
 ) -> DataFrame:
-    """Events per day against the mean of the seven days before it, and a minimum.
+    """Events per day against the seven days before it, and a minimum.
 
-    A day is anomalous when it departs from that mean by more than the tolerance.
+    Every day from the first to the last has a row, also one without events, which counts as
+    0 in the days after it. A day is anomalous when it departs from the mean of the days
+    before by more than the tolerance, or has events after days without any. It is an
+    outlier when it lies beyond ``deviations`` robust standard deviations (1.4826 medians of
+    the absolute deviations) of their median; one odd day before it moves that little.
     """
-    per_day = fact.groupBy("date_key").agg(F.count(F.lit(1)).alias("events"))
-    before = F.avg("events").over(Window.orderBy("date_key").rowsBetween(-7, -1))
-    return per_day.withColumn("_mean", before).select(
+    per_day = fact.where("date_key IS NOT NULL").groupBy("date_key").agg(F.count(F.lit(1)).alias("events"))
+    # one row per day of the calendar: the only thing that one task orders
+    spine = per_day.agg(F.sequence(F.min("date_key"), F.max("date_key")).alias("d"))
+    spine = spine.where("d IS NOT NULL").select(F.explode("d").alias("date_key"))
+    per_day = spine.join(per_day, "date_key", "left").fillna(0, ["events"])
+    before = Window.orderBy("date_key").rowsBetween(-7, -1)
+    last = per_day.withColumn("_mean", F.avg("events").over(before)).withColumn("_last", F.collect_list("events").over(before))
+    last = last.withColumn("_median", _middle(F.col("_last")))
+    spread = _middle(F.transform("_last", lambda x: F.abs(x - F.col("_median"))))
+    events, mean = F.col("events"), F.col("_mean")
+    return last.select(
         "date_key",
         "events",
-        rounded(F.col("_mean"), 2).alias("trailing_mean"),
-        pct(F.col("events") - F.col("_mean"), F.col("_mean")).alias("deviation_pct"),
+        rounded(mean, 2).alias("trailing_mean"),
+        pct(events - mean, mean).alias("deviation_pct"),
         F.coalesce(
-            F.abs(F.col("events") - F.col("_mean")) * 100 > F.col("_mean") * tolerance_pct,
-            F.lit(False),
+            F.when(mean == 0, events > 0).otherwise(F.abs(events - mean) * 100 > mean * tolerance_pct), F.lit(False)
         ).alias("is_anomaly"),
-        (F.col("events") < minimum).alias("below_minimum"),
+        (events < minimum).alias("below_minimum"),
+        F.col("_median").alias("trailing_median"),
+        F.coalesce(F.abs(events - F.col("_median")) > deviations * 1.4826 * spread, F.lit(False)).alias("is_outlier"),
     )

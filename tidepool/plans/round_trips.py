@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import DateLike, between_days
+from ..functions import DateLike, between_days, day
 from ..sources import binding, raw
 from ..sources.scratch import application_dir
 from ..sources.warehouse import Warehouse
@@ -26,16 +26,19 @@ def _warehouse(w: BoundWarehouse) -> Warehouse:
 def raw_range(w: BoundWarehouse, start: DateLike, end: DateLike, times: str = "timestamp") -> DataFrame:
     """Raw events written by day and a range of them read back.
 
-    ``times`` says how the files hold them: timestamp, text, or number (nanoseconds).
+    ``times`` says how the files hold them: timestamp, text, number (nanoseconds), or mixed:
+    each of these for a third of the events of every day.
     """
     folder = _folder(w)
     events = binding.raw_events(w.spark, w.sf_dir).withColumn("_day", F.to_date("event_timestamp"))
-    if times == "text":
-        events = events.withColumn("event_timestamp", F.col("event_timestamp").cast("string"))
-    elif times == "number":
-        micros = "timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', event_timestamp)"
-        events = events.withColumn("event_timestamp", F.expr(f"{micros} * 1000"))
-    raw.write_events(events.where("_day IS NOT NULL"), folder, by="_day")
+    events = events.where("_day IS NOT NULL")
+    micros = "timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', event_timestamp)"
+    encoded = {"timestamp": F.col("event_timestamp"), "text": F.col("event_timestamp").cast("string"), "number": F.expr(f"{micros} * 1000")}
+    third = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for i, (name, value) in enumerate(encoded.items()):
+        if times in (name, "mixed"):
+            some = events.where(third == i) if times == "mixed" else events
+            raw.write_events(some.withColumn("event_timestamp", value), folder, by="_day", mode="append")
     return raw.extract_events(w.spark, folder, start, end)
 
 
@@ -60,8 +63,8 @@ def replaced_day(w: BoundWarehouse, date: DateLike, platform: str) -> DataFrame:
     """Facts appended, and one day replaced by its facts of one platform."""
     warehouse, fact = _warehouse(w), w["fct_events"]
     warehouse.load_facts(fact)
-    day = between_days(fact, "date_key", date, date)
-    warehouse.load_facts(day.where(F.col("platform_key") == platform), date)
+    of_day = between_days(fact, "date_key", date, date)
+    warehouse.load_facts(of_day.where(F.col("platform_key") == platform), date)
     return warehouse.fact()
 
 
@@ -69,8 +72,8 @@ def replaced_metrics(w: BoundWarehouse, date: DateLike) -> DataFrame:
     """Daily metrics with those of one date replaced by ones without sessions."""
     warehouse, daily = _warehouse(w), w["agg_daily_metrics"]
     warehouse.replace("agg_daily_metrics", daily)
-    day = between_days(daily, "date_key", date, date)
-    warehouse.replace_dates("agg_daily_metrics", day.withColumn("total_sessions", F.lit(0)), [date])
+    of_day = between_days(daily, "date_key", date, date)
+    warehouse.replace_dates("agg_daily_metrics", of_day.withColumn("total_sessions", F.lit(0)), [date])
     return warehouse.read("agg_daily_metrics")
 
 
@@ -97,6 +100,50 @@ def incremental_facts(w: BoundWarehouse) -> DataFrame:
     return warehouse.read("fct_events")
 
 
+class CutOff(Exception):
+    """What stands for the end of a process in ``interrupted_load``."""
+
+
+class _CutOffWarehouse(Warehouse):
+    """A warehouse whose job ends before its commit, or after one of the commit's tables moved."""
+
+    def __init__(self, spark: SparkSession, root: str, committed: bool):
+        super().__init__(spark, root)
+        self.committed = committed
+
+    def commit(self, *parts: str) -> None:
+        if not self.committed:
+            raise CutOff
+        super().commit(*parts)
+
+    def _finish_days(self, table: str) -> None:
+        moves = self.exists_path(f"{self.root}/_commit")
+        super()._finish_days(table)
+        if moves:
+            raise CutOff
+
+
+def interrupted_load(w: BoundWarehouse, date: DateLike) -> DataFrame:
+    """Facts after a day was delivered again without its odd events, and its load was cut off
+    twice: when all was prepared, and between the tables of the commit."""
+    folder = _folder(w)
+    delivered = binding.delivered_events(w.spark, w.sf_dir)
+    raw.write_events(delivered, folder, by="delivered")
+    warehouse = _warehouse(w)
+    warehouse.replace("dim_users", w["dim_users"])
+    events = raw.extract_events(w.spark, folder, with_source=True)
+    jobs.load_facts(warehouse, events, warehouse.read("dim_users"), w.as_of)
+    again = delivered.where((F.col("delivered") == day(date)) & (F.col("event_id").cast("long") % 2 == 0))
+    again.drop("delivered").write.mode("overwrite").parquet(f"{folder}/events/dt={date}")
+    for committed in (False, True):
+        try:
+            jobs.load_days(_CutOffWarehouse(w.spark, warehouse.root, committed), folder, [date], w.as_of)
+        except CutOff:
+            continue
+        raise AssertionError("the load was to be cut off")
+    return Warehouse(w.spark, warehouse.root).read("fct_events")  # completes the commit
+
+
 def verified_facts(w: BoundWarehouse) -> DataFrame:
     """Row count and size of the sample that a look at the fact table gives."""
     w["fct_events"]  # builds it, when nothing has yet

@@ -34,6 +34,11 @@ TABLES = {
     """,
     # Typed raw events by the raw day that delivered them: what incremental loads compare.
     "stg_events": f"{RAW_EVENTS}, source_date date",
+    # Filters of the event ids of each raw day (see operators.membership).
+    "stg_id_filters": """
+        blocks int, block int, w0 bigint, w1 bigint, w2 bigint, w3 bigint, w4 bigint,
+        w5 bigint, w6 bigint, w7 bigint, source_date date
+    """,
     # The fact table folded to one row per user, day and platform. Every user-level
     # metric reads this instead of the events themselves.
     "user_activity": """
@@ -64,6 +69,7 @@ TABLES = {
 PARTITION_COLUMN = {
     "fct_events": "_partition_date",
     "stg_events": "source_date",
+    "stg_id_filters": "source_date",
     "user_activity": "date_key",
 }
 

@@ -1,13 +1,20 @@
 """Raw input: a users file and events in ``dt=YYYY-MM-DD`` folders, both Parquet.
 
 Writers store times in several ways: as microseconds, as nanoseconds or as text. All are read
-to a time without zone; text that is no time becomes null, which cleaning then counts.
+to a time without zone; text that is no time becomes null, which cleaning then counts. A
+number is taken as nanoseconds. Writers change over the years, so the days of one range, and
+the files of one day, may differ: files are grouped by the types they store, and each group
+is one scan. A column that a group lacks is null there.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import functools
+from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,19 +37,76 @@ def _time(name: str, stored: str) -> Column:
 def _conformed(df: DataFrame, ddl: str) -> DataFrame:
     """The declared columns with their types, whatever encoding of times the files have."""
     stored = dict(df.dtypes)
-    return df.select(
-        [
-            (_time(name, stored[name]) if kind == "timestamp_ntz" else F.col(name).cast(kind)).alias(name)
-            for name, kind in columns(ddl)
-        ]
-    )
+
+    def column(name: str, kind: str) -> Column:
+        if name not in stored:
+            return F.lit(None).cast(kind)
+        return _time(name, stored[name]) if kind == "timestamp_ntz" else F.col(name).cast(kind)
+
+    return df.select([column(name, kind).alias(name) for name, kind in columns(ddl)])
 
 
 def _reader(spark: SparkSession):
-    spark.conf.set(_NANOS, "true")  # Spark has no type for nanoseconds
+    # Spark has no type for nanoseconds and refuses such files without this; no other is affected.
+    spark.conf.set(_NANOS, "true")
     return spark.read
 
 
+def _files(spark: SparkSession, folder: str) -> list[str]:
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.getFileStatus(root).isDirectory():
+        return [folder]
+    found = [s.getPath() for s in fs.listStatus(root) if s.isFile()]
+    return [p.toString() for p in found if not p.getName().startswith(("_", "."))]
+
+
+def _merged_types(spark: SparkSession, base: str, paths: list[str]) -> dict[str, str] | None:
+    """Column types over the files of all paths, read in one distributed job; None if they differ."""
+    try:
+        found = _reader(spark).option("mergeSchema", "true").option("basePath", base).parquet(*paths)
+        return dict(found.dtypes)
+    except (PySparkException, Py4JJavaError) as error:
+        if "UNABLE_TO_INFER_SCHEMA" in str(error):  # folders without a file
+            return {}
+        if "CANNOT_MERGE" not in str(error):
+            raise
+        return None
+
+
+def _stored_types(spark: SparkSession, base: str, paths: list[str]) -> list[tuple[dict[str, str], list[str]]]:
+    """Sets of column types that are stored at ``paths``, each with its paths.
+
+    Paths whose types differ are halved, down to single files, with a job for each part side
+    by side. A change of writer thus costs a few jobs more, not one per day.
+    """
+    sets: list[tuple[dict[str, str], list[str]]] = []
+    pending = [paths]
+    with ThreadPoolExecutor(8) as pool:
+        while pending:
+            tried = list(pool.map(lambda some: _merged_types(spark, base, some), pending))
+            failed = [some for some, types in zip(pending, tried) if types is None]
+            for some, types in zip(pending, tried):
+                if not types:
+                    continue
+                for known, same in sets:  # sets that agree where they overlap are one
+                    if all(known.get(name, kind) == kind for name, kind in types.items()):
+                        known.update(types)
+                        same.extend(some)
+                        break
+                else:
+                    sets.append((types, list(some)))
+            parts = [_files(spark, some[0]) if len(some) == 1 else some for some in failed]
+            pending = [half for some in parts for half in (some[: len(some) // 2], some[len(some) // 2 :])]
+    return sets
+
+
+def _scans(spark: SparkSession, base: str, paths: list[str], folder: str) -> list[DataFrame]:
+    """A scan for each set of stored types."""
+    reader = lambda types: _reader(spark).schema(", ".join(f"`{n}` {t}" for n, t in types.items() if n != folder))
+    return [reader(types).option("basePath", base).parquet(*some) for types, some in _stored_types(spark, base, paths)]
+
+
 def extract_users(spark: SparkSession, raw_dir: str) -> DataFrame:
     """All users. Spark raises PATH_NOT_FOUND when the file is missing."""
     return _conformed(_reader(spark).parquet(f"{raw_dir}/users.parquet"), RAW_USERS)
@@ -78,8 +142,11 @@ def extract_events(
     if not days:
         return spark.createDataFrame([], ddl)
     paths = [f"{raw_dir}/events/dt={d}" for d in days]
-    found = _reader(spark).option("basePath", f"{raw_dir}/events").parquet(*paths)
-    return _conformed(found.withColumnRenamed("dt", "source_date"), ddl)
+    scans = [
+        _conformed(found.withColumnRenamed("dt", "source_date"), ddl)
+        for found in _scans(spark, f"{raw_dir}/events", paths, "dt")
+    ]
+    return functools.reduce(DataFrame.union, scans) if scans else spark.createDataFrame([], ddl)
 
 
 def extract_events_for_date(spark: SparkSession, raw_dir: str, date: DateLike) -> DataFrame:
@@ -95,13 +162,13 @@ def write_users(users: DataFrame, raw_dir: str) -> None:
     users.write.mode("overwrite").option("compression", "snappy").parquet(f"{raw_dir}/users.parquet")
 
 
-def write_events(events: DataFrame, raw_dir: str, by: str = "event_timestamp") -> None:
+def write_events(events: DataFrame, raw_dir: str, by: str = "event_timestamp", mode: str = "overwrite") -> None:
     """Write events by the day of ``by``. Rebalancing gives each day few files, and a large
     day several."""
     (
         events.withColumn("dt", F.col(by).try_cast("timestamp_ntz").cast("date"))
         .hint("rebalance", "dt")
-        .write.mode("overwrite")
+        .write.mode(mode)
         .partitionBy("dt")
         .option("compression", "snappy")
         .parquet(f"{raw_dir}/events")

@@ -19,6 +19,11 @@ class Warehouse:
     ``root`` must be a folder every executor can reach. Whole-table writes go to a
     sibling folder that then replaces the old one, so a table may be derived from itself
     and a failed job leaves it as it was.
+
+    Several tables change together by ``prepare`` or ``prepare_days`` and one ``commit``: what
+    is prepared lies beside the tables until a folder that names them all is renamed into
+    place. Before that rename nothing has changed, whatever was prepared; after it the next
+    access of any table moves what is left. One job at a time may write a warehouse.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -34,13 +39,17 @@ class Warehouse:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(location)
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
+    def exists_path(self, location: str) -> bool:
+        fs, path = self._path(location)
+        return fs.exists(path)
+
     def exists(self, table: str) -> bool:
         self._finish_swap(table)
-        fs, path = self._path(self.path(table))
-        return fs.exists(path)
+        return self.exists_path(self.path(table))
 
     def _finish_swap(self, table: str) -> None:
         """Complete a swap that was cut off on the way, of the whole table or of days."""
+        self._finish_commit()
         fs, target = self._path(self.path(table))
         _, done = self._path(f"{self.path(table)}__next/_SUCCESS")
         if not fs.exists(target) and fs.exists(done):
@@ -64,6 +73,26 @@ class Warehouse:
                     raise OSError(f"could not move {staged.getName()} of {table} into place")
         fs.delete(ready.getParent(), True)
 
+    def _finish_commit(self) -> None:
+        """Move into place what a commit names, as far as it hasn't been yet."""
+        fs, commit = self._path(f"{self.root}/_commit")
+        if not fs.exists(commit):
+            return
+        for status in fs.listStatus(commit):
+            table, _, part = status.getPath().getName().partition(".")
+            _, prepared = self._path(f"{self.path(table)}__{part}")
+            if not fs.exists(prepared):
+                continue
+            if part == "days":
+                fs.create(self._path(f"{self.path(table)}__days/_READY")[1], True).close()
+                self._finish_days(table)
+            else:
+                _, target = self._path(self.path(table))
+                fs.delete(target, True)
+                if not fs.rename(prepared, target):
+                    raise OSError(f"could not move the new version of {table} into place")
+        fs.delete(commit, True)
+
     def _swap(self, table: str) -> None:
         fs, target = self._path(self.path(table))
         _, staged = self._path(f"{self.path(table)}__next")
@@ -73,6 +102,14 @@ class Warehouse:
 
     # -- reading -----------------------------------------------------------------
 
+    def _stored(self, table: str, location: str) -> DataFrame:
+        fields = columns(TABLES[table])
+        stored = ", ".join(f"{n} {t}" for n, t in fields if (table, n) != ("fct_events", "date_key"))
+        df = self.spark.read.schema(stored).parquet(location)
+        if table == "fct_events":
+            df = df.withColumn("date_key", F.col("_partition_date"))
+        return df.select([name for name, _ in fields])
+
     def read(self, table: str) -> DataFrame:
         """A table with its declared schema; empty when it was never written.
 
@@ -81,12 +118,11 @@ class Warehouse:
         """
         if not self.exists(table):
             return self.spark.createDataFrame([], TABLES[table])
-        fields = columns(TABLES[table])
-        stored = ", ".join(f"{n} {t}" for n, t in fields if (table, n) != ("fct_events", "date_key"))
-        df = self.spark.read.schema(stored).parquet(self.path(table))
-        if table == "fct_events":
-            df = df.withColumn("date_key", F.col("_partition_date"))
-        return df.select([name for name, _ in fields])
+        return self._stored(table, self.path(table))
+
+    def prepared(self, table: str, part: str = "days") -> DataFrame:
+        """What is prepared for a table: its new ``days``, or the ``whole`` of it."""
+        return self._stored(table, f"{self.path(table)}__{part}")
 
     def fact(self, start: DateLike | None = None, end: DateLike | None = None) -> DataFrame:
         return between_days(self.read("fct_events"), "date_key", start, end)
@@ -153,12 +189,16 @@ class Warehouse:
         names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
         return sorted(dt.date.fromisoformat(n.partition("=")[2]) for n in names if "=" in n)
 
-    def replace_days(self, table: str, df: DataFrame, dates: Iterable[DateLike]) -> None:
-        """Make ``df`` the whole content of the folders of ``dates``, even of empty ones.
+    def prepare(self, table: str, df: DataFrame) -> None:
+        """Write a new version of a whole table beside it, for ``commit``."""
+        self._finish_swap(table)
+        self._writer(df, table, "overwrite").parquet(f"{self.path(table)}__whole")
 
-        One write puts all days next to the table, and only when it is complete do they
-        replace the old folders; a failed load leaves them as they were. A row of another
-        day makes the load fail instead of being lost.
+    def prepare_days(self, table: str, df: DataFrame, dates: Iterable[DateLike]) -> None:
+        """Write the new content of the folders of ``dates`` beside the table, for ``commit``.
+
+        A date without rows empties its folder. A row of another day makes the write fail
+        instead of being lost.
         """
         folder = PARTITION_COLUMN[table]
         dates = [dt.date.fromisoformat(str(d)) for d in dates]
@@ -177,11 +217,49 @@ class Warehouse:
             .partitionBy(folder)
             .parquet(staged)
         )
-        fs, root = self._path(staged)
+        fs, _ = self._path(staged)
         for d in dates:
             fs.mkdirs(self._path(f"{staged}/{folder}={d}")[1])
-        fs.create(self._path(f"{staged}/_READY")[1], True).close()
-        self._finish_days(table)
+
+    def commit(self, *parts: str) -> None:
+        """Make prepared parts, named table.days or table.whole, the tables' content, all or none."""
+        fs, commit = self._path(f"{self.root}/_commit")
+        _, names = self._path(f"{self.root}/_commit__next")
+        fs.delete(names, True)
+        fs.mkdirs(names)
+        for part in parts:
+            fs.create(self._path(f"{self.root}/_commit__next/{part}")[1], True).close()
+        if not fs.rename(names, commit):
+            raise OSError("could not commit")
+        self._finish_commit()
+
+    def replace_days(self, table: str, df: DataFrame, dates: Iterable[DateLike]) -> None:
+        """Make ``df`` the whole content of the folders of ``dates``, even of empty ones.
+
+        One write puts all days next to the table, and only when it is complete do they
+        replace the old folders; a failed load leaves them as they were.
+        """
+        self.prepare_days(table, df, dates)
+        self.commit(f"{table}.days")
+
+    # -- days whose aggregates are behind ----------------------------------------
+
+    def mark_stale(self, dates: Iterable[DateLike]) -> None:
+        """Note that the aggregates of ``dates`` must be computed anew; kept until cleared."""
+        for d in dates:
+            fs, path = self._path(f"{self.root}/_stale/{d}")
+            fs.create(path, True).close()
+
+    def stale_days(self) -> list[dt.date]:
+        fs, folder = self._path(f"{self.root}/_stale")
+        if not fs.exists(folder):
+            return []
+        return sorted(dt.date.fromisoformat(s.getPath().getName()) for s in fs.listStatus(folder))
+
+    def clear_stale(self, dates: Iterable[DateLike]) -> None:
+        for d in dates:
+            fs, path = self._path(f"{self.root}/_stale/{d}")
+            fs.delete(path, False)
 
     def replace_day(self, table: str, df: DataFrame, date: DateLike) -> None:
         self.replace_days(table, df, [date])
