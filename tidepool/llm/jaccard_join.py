@@ -16,7 +16,9 @@ left; the others are compared by their whole shingle sets.
 Groups may hold any share of the corpus. First rounds link documents to a few others that
 share one of their four first segments; documents in one group then carry one label. The full
 join only has to look at segments that two different labels share, first with such rounds
-and at last at all pairs of different labels, so no group's pairs are listed.
+and at last at all pairs of different labels, so no group's pairs are listed. Documents that
+share a passage share many segments; segments that the very same documents hold give the same
+pairs, so one of them stands for all.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import written
 from .components import components
-from .tables import joined, long_lists
+from .tables import in_arrow, joined, long_lists
 from .text import SPACED, batch_words, mix, shingles
 
 WORDS = 5
@@ -170,16 +172,18 @@ def _held(column: pa.Array, limit: int = 4_000_000) -> Iterator[np.ndarray]:
 
 def frequent_shingles(docs: DataFrame) -> np.ndarray:
     """Hashes of the shingles that the most documents share: at most FREQUENT_KEPT, sorted."""
-    counted = docs.select("doc_id", "text").mapInArrow(_frequent, "hash long, docs long")
+    counted = in_arrow(docs.select("doc_id", "text"), _frequent, "hash long, docs long")
     top = counted.groupBy("hash").agg(F.sum("docs").alias("docs")).orderBy(F.desc("docs"), "hash")
     kept = top.limit(FREQUENT_KEPT).select("hash").toArrow()["hash"].to_numpy()
     return np.sort(kept.astype(np.int64).view(np.uint64)) if len(kept) else np.zeros(1, np.uint64)
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """Size, digest, join keys and parity bits of every document's shingle set."""
+    """Size, digest, join keys and parity bits of every document's shingle set, stored."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs))
-    return docs.select("doc_id", "text").mapInArrow(lambda b: _sets(b, shared.value), _SETS_DDL)
+    sets = written(in_arrow(docs.select("doc_id", "text"), lambda b: _sets(b, shared.value), _SETS_DDL))
+    shared.unpersist()
+    return sets
 
 
 def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,13 +232,11 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     ).select("doc_id", F.struct(F.col("doc_id").alias("pivot"), "salt", F.lit(0).alias("role")).alias("meet"))
     meets = written(member.union(own).groupBy("doc_id").agg(F.collect_list("meet").alias("meets")))
     texts = joined(docs.select("doc_id", "text"), meets, "doc_id", "inner", 4 * pairs.count())
-    sets = texts.mapInArrow(
-        _with_sets, "doc_id long, items binary, meets array<struct<pivot:long,salt:long,role:int>>"
-    )
+    sets = in_arrow(texts, _with_sets, "doc_id long, items binary, meets array<struct<pivot:long,salt:long,role:int>>")
     rows = sets.select("doc_id", "items", F.explode("meets").alias("m"))
     rows = rows.select(F.col("m.pivot"), F.col("m.salt"), F.col("m.role"), "doc_id", "items")
     dealt = rows.repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "role")
-    return dealt.select("pivot", "salt", "doc_id", "items").mapInArrow(_compare, "a long, b long")
+    return in_arrow(dealt.select("pivot", "salt", "doc_id", "items"), _compare, "a long, b long")
 
 
 def _labelled(rows: DataFrame, labels: DataFrame, count: int) -> DataFrame:
@@ -250,6 +252,17 @@ def _possible(a: str, b: str):
     return (100 * F.least(n, m) >= SHARE * F.greatest(n, m)) & (7 * differ <= n + m)
 
 
+def _distinct_keys(rows: DataFrame) -> DataFrame:
+    """The rows of one key of all that the same documents hold, told by 128 bits and a count."""
+    held = rows.groupBy("key").agg(
+        F.count(F.lit(1)).alias("c"),
+        F.bit_xor(F.xxhash64("doc_id")).alias("x"),
+        F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("y"),
+    )
+    kept = written(held.groupBy("c", "x", "y").agg(F.min("key").alias("key")).select("key"))
+    return written(joined(rows, kept, "key", "left_semi", kept.count()))
+
+
 class _Groups:
     """Groups found so far, and rounds that merge more of them."""
 
@@ -325,7 +338,7 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     are ignored. doc_id must be unique; an empty table gives an empty result.
     """
     docs = docs.select("doc_id", "text")
-    sets = written(shingle_sets(docs))
+    sets = shingle_sets(docs)
 
     # classes of equal sets
     named = sets.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("c"))
@@ -351,6 +364,7 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     shared = written(spans.where("low < high").select("key"))
     rows = sets.select("doc_id", "n", *_SKETCH, F.explode("keys").alias("key"))
     rows = groups.mixed(groups.merge(joined(rows, shared, "key", "inner", shared.count()), ROUNDS))
+    rows = _distinct_keys(rows)
     sides = [rows.select("key", F.struct("doc_id", "label", "n", *_SKETCH).alias(side)) for side in ("m", "p")]
     candidates = sides[0].join(sides[1], "key").where((F.col("m.label") > F.col("p.label")) & _possible("m", "p"))
     groups.add(written(candidates.select(F.col("m.doc_id").alias("a"), F.col("p.doc_id").alias("b")).distinct()))

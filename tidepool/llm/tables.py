@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +28,26 @@ def joined(left: DataFrame, right: DataFrame, key: str | list[str], how: str, ro
     return left.join(F.broadcast(right) if rows <= BROADCAST_ROWS else right, key, how)
 
 
+def in_arrow(
+    df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+) -> DataFrame:
+    """``df.mapInArrow(work, schema)`` whose workers give their memory back after each task.
+
+    Python workers live on between tasks; without this they keep the most that any task of
+    any operator took, beside the executor's heap.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library has its own ways
+            pass
+
+    return df.mapInArrow(task, schema)
+
+
 def keyed(docs: DataFrame, *columns: str) -> DataFrame:
     """``columns`` of ``docs`` after _row, a number that no other row has.
 
