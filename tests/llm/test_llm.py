@@ -1,6 +1,7 @@
 """The corpus operators against brute force, on the small tables and on damaged rows."""
 
 import collections
+import hashlib
 import re
 from zlib import crc32
 
@@ -35,6 +36,9 @@ ODD = [
     None, "", " \n\t ", "...", "word", "word", "WORD word\nword", "a b c d", "a b c d e f", LONG, LONG + "end",
     "été à la plage\n\nété à la plage", " no break  two  spaces ", "日本語 の 文", "x\x00y <|endoftext|> z",
     "one two three four five six seven eight nine ten eleven", "'s it's   ''\n\n  tail  ", "password=hunter2hunter2",
+    # lines of 49 and of 50 words with white space of several kinds at their ends
+    "\t" + "w " * 49, " ".join(["w"] * 49) + "\r", "\t" + " ".join(["w"] * 50) + "\r\nend\r", " ".join(["w"] * 50) + "\r\nend",
+    " ".join(["u"] * 30) + "\r\n" + " ".join(["v"] * 30) + "\r\n", "x\n" + " ".join(["u"] * 30) + "\n\t" + " ".join(["v"] * 30),
 ]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -213,26 +217,27 @@ def test_line_dedup(docs, odd, nothing, spark):
     assert (after[0], after[1], after[4], after[6]) == (runs[0], "x\ny", "q\nq", "t")
 
 
-def brute_removed(texts):
-    """Lines that go: 4-line windows, long lines, and the shortest runs of 2 or 3 lines of 50 words."""
+def brute_removed(rows):
+    """From the definition: lines of a run of 4 lines, of a line of 50 words, or of the shortest
+    2 or 3 lines of 50 words together, that stands at an earlier place too."""
+    key = lambda t: int(hashlib.md5(t.encode()).hexdigest()[:15], 16)
     seen, gone = {}, {}
-    for i, text in sorted((i, t) for i, t in texts.items() if t is not None):
-        raw = text.split("\n")
-        lines = [x.strip(" \t\n\x0b\x0c\r") for x in raw]
+    for i, k, text in sorted({(i, key(t), t) for i, t in rows if i is not None and t is not None}):
+        lines = [x.strip(" \t\n\x0b\x0c\r") for x in text.split("\n")]
         n = [len(re.findall(SPACED, x)) for x in lines]
-        sizes = [[4] if at + 4 <= len(lines) else [] for at in range(len(lines))]
-        for at, line in enumerate(raw):
-            if len(re.split(r"[\x20\x09-\x0D]+", line.strip(" "))) >= 50:
-                sizes[at].append(1)
-            run = [k for k in (1, 2, 3) if at + k <= len(lines) and sum(n[at : at + k]) >= 50]
-            if n[at] and run and run[0] > 1:
-                sizes[at].append(run[0])
         for at in range(len(lines)):
-            for size in sizes[at]:
-                first = seen.setdefault(tuple(lines[at : at + size]), (i, at))
-                if first[0] != i or at >= first[1] + size:
-                    gone.setdefault(i, set()).update(range(at, at + size))
-    return {i: sorted(x) for i, x in gone.items()}
+            sizes = [4] if at + 4 <= len(lines) else []
+            enough = [size for size in (1, 2, 3) if at + size <= len(lines) and sum(n[at : at + size]) >= 50]
+            sizes += enough[:1] if n[at] else []
+            for size in sizes:
+                first = seen.setdefault(tuple(lines[at : at + size]), (i, k, at))
+                if first[:2] != (i, k) or at >= first[2] + size:
+                    gone.setdefault((i, k), set()).update(range(at, at + size))
+    return {place: sorted(x) for place, x in gone.items()}
+
+
+def removed(rows):
+    return {(r["doc_id"], r["text_key"]): r["removed"] for r in line_dedup.repeated_lines(rows).collect()}
 
 
 def test_passages_of_few_lines(spark, docs, odd):
@@ -240,14 +245,27 @@ def test_passages_of_few_lines(spark, docs, odd):
     two, three = f"{line('a', 30)}\n{line('b', 25)}", f"{line('c', 20)}\n\n{line('d', 30)}"
     made = [f"x\n{two}\ny", f"z\n {two} ", f"{three}\nu", f"v\n{three}", f"{line('a', 30)}\nw", f"{two}\n{two}", line("e", 24) + "\n" + line("f", 25)]
     rows = spark.createDataFrame(list(enumerate([*made, made[-1]])), "doc_id long, text string")
-    after = texts_of(line_dedup.without_repeated_lines(rows, short_runs=True))
+    after = texts_of(line_dedup.without_repeated_lines(rows))
     assert [after[i] for i in range(8)] == [made[0], "z", made[2], "v", made[4], "", made[6], made[6]]
     for rows in (rows, docs, odd):
-        got = {r["doc_id"]: r["removed"] for r in line_dedup.repeated_lines(rows, short_runs=True).collect()}
-        assert got == brute_removed(texts_of(rows))
-    plain = {r["doc_id"]: r["removed"] for r in line_dedup.repeated_lines(docs).collect()}
-    every = brute_removed(texts_of(docs))
-    assert plain != every and all(set(x) <= set(every[i]) for i, x in plain.items())
+        assert removed(rows) == brute_removed([tuple(r) for r in rows.select("doc_id", "text").collect()])
+
+
+def test_line_dedup_of_repeated_ids_and_clashing_columns(spark):
+    """Texts that share an id are judged apart; equal rows are one document; null ids stay."""
+    long = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, long), (5, f"keep me\n{long}"), (5, "first\nsecond\nthird"), (5, "first\nsecond\nthird"), (None, long), (7, None), (7, f"{long}\nx")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_lines", F.lit("other")).withColumn("_removed", F.lit("r"))
+    out = line_dedup.without_repeated_lines(docs)
+    got = sorted((r["doc_id"] or 0, r["text"] or "", r["n_lines"], r["n_removed"], r["_removed"]) for r in out.collect())
+    three = (5, "first\nsecond\nthird", 3, 0, "r")
+    assert got == [(0, long, 1, 0, "r"), (1, long, 1, 0, "r"), three, three, (5, "keep me", 2, 1, "r"), (7, "", 0, 0, "r"), (7, "x", 2, 1, "r")]
+    assert removed(docs) == brute_removed(rows)
+    con = duckdb.connect()
+    con.register("documents", docs.select("doc_id", "text").toArrow())
+    got = out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256")).collect()
+    expected = con.sql(oracle_sql()["op4_line_dedup"]).select("doc_id, n_lines, n_removed, text_sha256").fetchall()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, expected))
 
 
 # -- 5 ------------------------------------------------------------------------------------

@@ -9,9 +9,8 @@ up to where the run ends. The first place of each window, by document id and pos
 and the later ones are deleted.
 
 A passage of LONG_WORDS or more words in fewer than WINDOW lines, none of them that long, has no
-such window. With ``short_runs`` each line that isn't blank also opens the shortest run of 2 to
-WINDOW - 1 lines that reaches LONG_WORDS. Its lines alone fix its length, so equal passages give
-equal windows.
+such window. So each line that isn't blank also opens the shortest run of 2 to WINDOW - 1 lines
+that reaches LONG_WORDS. Its lines alone fix its length, so equal passages give equal windows.
 
 Hashes are 64 bits wide. Frequent lines only add rows, one per place, to aggregations that
 combine before the shuffle and to joins that adaptive execution splits.
@@ -36,10 +35,20 @@ def _line_hash(line: Column) -> Column:
     return F.xxhash64(F.regexp_replace(line, rf"^{_SPACE}|{_SPACE}$", ""))
 
 
-def _windows(hashes: Column, lines: Column, words: Column | None, window: int, long_words: int) -> Column:
+def _words(line: Column) -> Column:
+    """The number of words: of runs without white space."""
+    return F.size(F.array_remove(F.split(line, _SPACE), ""))
+
+
+def _text_key() -> Column:
+    """60 bits of a text's md5, which tell apart the rows of one doc_id."""
+    return F.conv(F.substring(F.md5("text"), 1, 15), 16, 10).cast("long")
+
+
+def _windows(hashes: Column, words: Column, window: int, long_words: int) -> Column:
     """Array of (start, size, print, place, content): place is where the fingerprint stands.
 
-    ``words`` are the lines' numbers of words, for windows of short runs as well.
+    ``words`` are the lines' numbers of words.
     """
 
     def of(start: Column, size: Column) -> Column:
@@ -53,7 +62,7 @@ def _windows(hashes: Column, lines: Column, words: Column | None, window: int, l
             F.xxhash64(F.array_join(F.transform(rows, lambda x: x.cast("string")), ",")).alias("content"),
         )
 
-    def alone(line: Column, at: Column) -> Column:
+    def alone(at: Column) -> Column:
         return F.struct(
             at.alias("start"),
             F.lit(1).alias("size"),
@@ -72,72 +81,64 @@ def _windows(hashes: Column, lines: Column, words: Column | None, window: int, l
     n = F.size(hashes)
     none = F.expr("CAST(array() AS array<struct<start:int,size:int,print:bigint,place:int,content:bigint>>)")
     many = F.when(n >= window, F.transform(F.sequence(F.lit(0), F.greatest(n - window, F.lit(0))), lambda i: of(i, F.lit(window)))).otherwise(none)
-    # a line has more words than separators between them
     long = F.filter(
-        F.transform(lines, lambda x, i: F.when(F.size(F.split(F.trim(x), _SPACE)) >= long_words, alone(x, i))),
-        lambda x: x.isNotNull(),
+        F.transform(words, lambda n, at: F.when(n >= long_words, alone(at))), lambda x: x.isNotNull()
     )
-    if words is None:
-        return F.concat(many, long)
     return F.concat(many, long, F.filter(F.transform(words, short), lambda x: x.isNotNull()))
 
 
-def repeated_lines(
-    docs: DataFrame, window: int = WINDOW, long_words: int = LONG_WORDS, short_runs: bool = False
-) -> DataFrame:
-    """(doc_id, removed): positions, from 0 and ascending, of lines in later repeated runs.
+def repeated_lines(docs: DataFrame, window: int = WINDOW, long_words: int = LONG_WORDS) -> DataFrame:
+    """(doc_id, text_key, removed): positions, from 0 and ascending, of lines in later repeated runs.
 
-    Only documents with such lines have a row. Within one document a repeat that overlaps
-    its first place isn't one. Null and empty texts have none. Runs shorter than ``window``
-    lines without a long line have none, unless ``short_runs`` asks for those that reach
-    ``long_words`` together. doc_id must be unique and not null to be compared; rows
-    without an id are left as they are.
+    Only texts with such lines have a row. Places are ordered by doc_id, then by ``text_key``,
+    a hash of the text, then by position. Within one text a repeat that overlaps its first
+    place isn't one. Null and empty texts have none, and rows without an id are left as they
+    are. Rows equal in doc_id and text are one document, so neither is a repeat of the other.
     """
-    lines = F.split(F.col("text"), "\n")
-    rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", lines.alias("lines"))
-    rows = rows.withColumn("hashes", F.transform("lines", _line_hash))
-    words = None
-    if short_runs:
-        count = lambda line: F.size(F.array_remove(F.split(line, _SPACE), ""))
-        rows, words = rows.withColumn("words", F.transform("lines", count)), F.col("words")
-    rows = rows.select("doc_id", _windows(F.col("hashes"), F.col("lines"), words, window, long_words).alias("windows"))
+    # one row per document
+    rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    rows = rows.select("doc_id", _text_key().alias("text_key"), F.split("text", "\n").alias("lines"))
+    rows = rows.withColumns({"hashes": F.transform("lines", _line_hash), "words": F.transform("lines", _words)})
+    rows = rows.select("doc_id", "text_key", _windows(F.col("hashes"), F.col("words"), window, long_words).alias("windows"))
     # an outer explode: a plain one adds a filter that works out all windows a second time
-    rows = rows.select("doc_id", F.explode_outer("windows").alias("w")).where("w IS NOT NULL")
-    windows = written(rows.select("doc_id", "w.*"))
+    rows = rows.select("doc_id", "text_key", F.explode_outer("windows").alias("w")).where("w IS NOT NULL")
+    windows = written(rows.select("doc_id", "text_key", "w.*"))
 
     # guaranteed fingerprints: those selected in two places, each place counted once
-    prints = windows.groupBy("print").agg(
-        F.min(F.struct("doc_id", "place")).alias("low"), F.max(F.struct("doc_id", "place")).alias("high")
-    )
+    stands = F.struct("doc_id", "text_key", "place")
+    prints = windows.groupBy("print").agg(F.min(stands).alias("low"), F.max(stands).alias("high"))
     shared = written(prints.where("low <> high").select("print"))
-    n_shared = shared.count()
-    matched = joined(windows, shared, "print", "left_semi", n_shared)
-    place = F.struct("doc_id", "start")
+    matched = joined(windows, shared, "print", "left_semi", shared.count())
+    place = F.struct("doc_id", "text_key", "start")
     firsts = matched.groupBy("content", "size").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    firsts = firsts.where("first <> last").select("content", "size", "first")
-    later = matched.join(firsts, ["content", "size"]).where(
-        (F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") >= F.col("first.start") + F.col("size"))
+    firsts = written(firsts.where("first <> last").select("content", "size", "first"))
+    later = joined(matched, firsts, ["content", "size"], "inner", firsts.count()).where(
+        (F.col("doc_id") != F.col("first.doc_id"))
+        | (F.col("text_key") != F.col("first.text_key"))
+        | (F.col("start") >= F.col("first.start") + F.col("size"))
     )
-    covered = later.select("doc_id", F.explode(F.expr("sequence(start, start + size - 1)")).alias("at"))
-    return covered.groupBy("doc_id").agg(F.sort_array(F.collect_set("at")).alias("removed"))
+    covered = later.select("doc_id", "text_key", F.explode(F.expr("sequence(start, start + size - 1)")).alias("at"))
+    return covered.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("at")).alias("removed"))
 
 
-def without_repeated_lines(
-    docs: DataFrame, window: int = WINDOW, long_words: int = LONG_WORDS, short_runs: bool = False
-) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, window: int = WINDOW, long_words: int = LONG_WORDS) -> DataFrame:
     """Every row of ``docs`` with its text less repeated lines, and n_lines and n_removed.
 
     A null text stays null with no lines; a text whose lines all repeat becomes empty. Other
-    columns are carried along.
+    columns are carried along, but those named n_lines or n_removed are replaced.
     """
-    removed = written(repeated_lines(docs, window, long_words, short_runs)).withColumnRenamed("removed", "_removed")
+    kept_columns = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
+    gone, key, lines = ("_" * (i + max(map(len, docs.columns))) for i in (1, 2, 3))  # no column's names
+    removed = written(repeated_lines(docs, window, long_words))
+    removed = removed.withColumnsRenamed({"removed": gone, "text_key": key})
     # hot ids can't be: a document is one row; so a plain sort-merge join at every size
-    out = docs.join(removed.hint("merge"), "doc_id", "left").withColumn("_lines", F.split("text", "\n"))
-    every = F.sequence(F.lit(0), F.size("_lines") - 1)
-    kept = F.transform(F.array_except(every, F.col("_removed")), lambda i: F.get("_lines", i))
+    out = docs.withColumn(key, _text_key()).join(removed.hint("merge"), ["doc_id", key], "left")
+    out = out.withColumn(lines, F.split("text", "\n"))
+    every = F.sequence(F.lit(0), F.size(lines) - 1)
+    kept = F.transform(F.array_except(every, F.col(gone)), lambda i: F.get(lines, i))
     return out.select(
-        *[c for c in docs.columns if c != "text"],
-        F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).cast("long").alias("n_lines"),
-        F.when(F.col("_removed").isNull(), 0).otherwise(F.size("_removed")).cast("long").alias("n_removed"),
+        *kept_columns,
+        F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+        F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).cast("long").alias("n_removed"),
     )

@@ -170,32 +170,43 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
-# A run of four lines, or a line of 50 words, that stands at an earlier place too.
+# A run of four lines, a line of 50 words, or the shortest run of two or three lines that
+# reaches 50 words, that stands at an earlier place too.
 OP4_SQL = r"""
-WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
-t AS (SELECT doc_id, list_transform(l, lambda x: regexp_replace(x, '^[ \t-\r]+|[ \t-\r]+$', '', 'g')) AS l FROM d WHERE text IS NOT NULL),
+WITH d AS (SELECT doc_id, text, CAST('0x' || substr(md5(text), 1, 15) AS BIGINT) AS k, string_split(text, chr(10)) AS l FROM documents),
+t AS (
+  SELECT DISTINCT doc_id, k, list_transform(l, lambda x: regexp_replace(x, '^[ \t-\r]+|[ \t-\r]+$', '', 'g')) AS l,
+    list_transform(l, lambda x: len(regexp_extract_all(x, '[^\x20\x09-\x0D]+'))) AS n
+  FROM d WHERE text IS NOT NULL AND doc_id IS NOT NULL
+),
+spots AS (SELECT doc_id, k, l, n, unnest(range(1, len(l) + 1)) AS i FROM t),
 w AS (
-  SELECT doc_id, i - 1 AS start, 4 AS size, l[i : i + 3] AS content
-  FROM (SELECT doc_id, l, unnest(range(1, len(l) - 2)) AS i FROM t)
+  SELECT doc_id, k, i - 1 AS start, 4 AS size, l[i : i + 3] AS content FROM spots WHERE i + 3 <= len(l)
+  UNION ALL
+  SELECT doc_id, k, i - 1, 1, l[i : i] FROM spots WHERE n[i] >= 50
+  UNION ALL
+  SELECT doc_id, k, i - 1, 2, l[i : i + 1] FROM spots WHERE n[i] BETWEEN 1 AND 49 AND i + 1 <= len(l) AND n[i] + n[i + 1] >= 50
   UNION ALL
-  SELECT doc_id, i - 1, 1, l[i : i] FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM t)
-  WHERE len(regexp_split_to_array(trim(l[i]), '[ \t-\r]+')) >= 50
+  SELECT doc_id, k, i - 1, 3, l[i : i + 2] FROM spots
+  WHERE n[i] BETWEEN 1 AND 49 AND i + 2 <= len(l) AND n[i] + n[i + 1] < 50 AND n[i] + n[i + 1] + n[i + 2] >= 50
+),
+f AS (
+  SELECT *, first_value(doc_id) OVER p AS d0, first_value(k) OVER p AS k0, first_value(start) OVER p AS s0
+  FROM w WINDOW p AS (PARTITION BY size, content ORDER BY doc_id, k, start)
 ),
-f AS (SELECT *, first_value(doc_id) OVER p AS d0, first_value(start) OVER p AS s0 FROM w WINDOW p AS (PARTITION BY size, content ORDER BY doc_id, start)),
 r AS (
-  SELECT DISTINCT doc_id, unnest(range(start, start + size)) AS place FROM f
-  WHERE doc_id <> d0 OR start >= s0 + size
+  SELECT DISTINCT doc_id, k, unnest(range(start, start + size)) AS place FROM f
+  WHERE doc_id <> d0 OR k <> k0 OR start >= s0 + size
 ),
-g AS (SELECT doc_id, list(place) AS removed FROM r GROUP BY doc_id)
+g AS (SELECT doc_id, k, list(place) AS removed FROM r GROUP BY doc_id, k)
 SELECT d.doc_id, coalesce(len(l), 0) AS n_lines, coalesce(len(removed), 0) AS n_removed,
   sha256(CASE WHEN removed IS NULL THEN text ELSE
     array_to_string(list_transform(list_filter(range(1, len(l) + 1), lambda i: NOT list_contains(removed, i - 1)), lambda i: l[i]), chr(10))
   END) AS text_sha256
-FROM d LEFT JOIN g USING (doc_id)
+FROM d LEFT JOIN g USING (doc_id, k)
 """
 
 
-
 def _crc32(hex_bytes: str) -> str:
     """crc32 of bytes given as hexadecimal digits."""
     step = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))"
