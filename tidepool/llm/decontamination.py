@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import written
-from .tables import joined, keyed
+from .tables import in_arrow, joined, keyed
 from .text import ALNUM, FOLD, pieces, runs, text_bytes, words
 
 WINDOW = 10
@@ -191,7 +191,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, max_windows: int = MAX_
         block = windows if blocks == 1 else windows.where(F.pmod("hash", F.lit(blocks)) == k)
         held = docs.sparkSession.sparkContext.broadcast(block.toArrow())
         parts.append(
-            rows.mapInArrow(
+            in_arrow(
+                rows,
                 lambda b, held=held: _scan(b, held.value),
                 f"{carried}, n_words long, hits array<long>, items array<long>",
             )
@@ -207,7 +208,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, max_windows: int = MAX_
             F.flatten(F.collect_list("items")).alias("items"),
         )
         scanned = scanned.drop("_row")
-    return scanned.mapInArrow(_report, _REPORT)
+    return in_arrow(scanned, _report, _REPORT)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import written
-from .tables import joined, keyed
+from .tables import in_arrow, joined, keyed
 from .text import LETTERS, pieces, text_bytes
 
 ORDER = 3
@@ -168,6 +168,11 @@ class Forest:
             self._held = [context.broadcast(self.trees(block)) for block in self.blocks]
         return self._held
 
+    def release(self) -> None:
+        """Take the broadcasts from the executors; they are sent again when they are used again."""
+        for block in self._held:
+            block.unpersist()
+
     def code_lengths(self, code: np.ndarray, where: np.ndarray) -> np.ndarray:
         """Bits of each text in each language."""
         return np.hstack([self.trees(block).code_lengths(code, where) for block in self.blocks])
@@ -203,7 +208,7 @@ def train(
     )
     draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
     sample = joined(docs, chosen, "lang", "inner", len(sizes)).where(draw < F.col("share"))
-    counts = sample.select("text", "tongue").mapInArrow(_count, "tongue int, gram long, n long")
+    counts = in_arrow(sample.select("text", "tongue"), _count, "tongue int, gram long, n long")
     counts = written(counts.groupBy("tongue", "gram").agg(F.sum("n").alias("n")))
     nodes = {r["tongue"]: r["count"] for r in counts.groupBy("tongue").count().collect()}
     if not nodes:
@@ -252,7 +257,8 @@ def _combined(docs: DataFrame, held: list[Broadcast]) -> DataFrame:
     """As ``_predict``, from the best of each block."""
     rows, every = keyed(docs, "doc_id", "text"), None
     for block in held:
-        part = rows.mapInArrow(
+        part = in_arrow(
+            rows,
             lambda b, block=block: _score_block(b, block.value),
             "_row long, doc_id long, lang string, bits double, odds double",
         )
@@ -286,8 +292,10 @@ def predict(docs: DataFrame, trees: Forest | None) -> DataFrame:
     held = trees.held() if trees else [docs.sparkSession.sparkContext.broadcast(None)]
     if len(held) > 1:
         return _combined(docs, held)
-    return docs.select("doc_id", "text").mapInArrow(
-        lambda b: _predict(b, held[0].value), "doc_id long, lang_pred string, score double"
+    return in_arrow(
+        docs.select("doc_id", "text"),
+        lambda b: _predict(b, held[0].value),
+        "doc_id long, lang_pred string, score double",
     )
 
 
@@ -299,4 +307,6 @@ def keep_identified(docs: DataFrame, trees: Forest | None, min_score: float = MI
     that wasn't learned, or letters without meaning, stays under the nearest language.
     """
     out = written(predict(docs, trees).where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < min_score)))
+    if trees:
+        trees.release()
     return joined(docs, out.select("doc_id"), "doc_id", "left_anti", out.count())

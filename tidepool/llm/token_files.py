@@ -32,11 +32,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .range_coder import decode, encode
+from .tables import in_arrow
 
 BLOCK_IDS = 1 << 21
 END_ID = 0
-# Encoded pieces of text that a worker remembers.
-REMEMBERED = 400_000
+# Encoded pieces of text that a worker remembers: twice this number, under 60 MB.
+REMEMBERED = 70_000
 
 _HEADER = struct.Struct("<4s7I")
 _MAGIC, _VERSION = b"TPID", 1
@@ -102,6 +103,7 @@ class _Encoder:
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # known before; pieces that are met again move on
 
     def _pieces(self, text: str) -> list[str]:
         if any(s in text for s in self.special):
@@ -137,13 +139,15 @@ class _Encoder:
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text."""
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.known, self.older = {}, self.known
         get = self.known.get
         cut = [self._pieces(t) for t in texts]
         found = [list(map(get, pieces)) for pieces in cut]
         new = {p for pieces, ids in zip(cut, found) if None in ids for p, x in zip(pieces, ids) if x is None}
         new.discard("")
-        self._learn(list(new))
+        again = new & self.older.keys()
+        self.known.update((p, self.older[p]) for p in again)
+        self._learn(list(new - again))
         self.known[""] = b""
         for pieces, ids in zip(cut, found):
             if None in ids:
@@ -224,8 +228,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, block_ids: int = BL
     with open(tokenizer, encoding="utf-8") as f:  # the driver's copy serves all executors
         model = docs.sparkSession.sparkContext.broadcast(f.read())
     dealt = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    blocks = dealt.mapInArrow(lambda b: _write(b, model.value, block_ids), _BLOCKS)
+    blocks = in_arrow(dealt, lambda b: _write(b, model.value, block_ids), _BLOCKS)
     blocks.write.mode("overwrite").option("compression", "uncompressed").parquet(path)
+    model.unpersist()
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,11 +283,11 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     before = F.coalesce(F.sum("ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     shards = shards.select("shard", before.alias("before"))
     columns = ["shard", "doc_id", "start", "n_tokens", "ids_crc32"]
-    cut = blocks.where("parts > 1").mapInArrow(_read, _ROWS)
+    cut = in_arrow(blocks.where("parts > 1"), _read, _ROWS)
     long = cut.groupBy("shard", "seq").applyInPandas(
         lambda p: _united(p), "shard int, doc_id long, start long, n_tokens long, ids_crc32 long"
     )
-    whole = blocks.where("parts = 1").mapInArrow(_read, _ROWS)
+    whole = in_arrow(blocks.where("parts = 1"), _read, _ROWS)
     rows = whole.select(columns).union(long.select(columns))
     return rows.join(F.broadcast(shards), "shard").select(
         "doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32"
