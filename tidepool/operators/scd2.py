@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import DateLike, day
 from .dedup import keep_first
+from .skew import lookup
 
 TRACKED = ["country", "age_group", "device_type", "user_segment", "signup_date", "primary_platform"]
 
@@ -59,16 +60,29 @@ def scd2_merge(history: DataFrame, incoming: DataFrame, load_date: DateLike) ->
 def version_at(fact: DataFrame, history: DataFrame, *attributes: str) -> DataFrame:
     """``fact`` with attributes (as ``user_<name>``) of the version valid on its day.
 
-    The first version also covers earlier days.
+    The first version also covers earlier days; facts of users without a version, or of a day
+    after the last version was closed, are dropped. An as-of join: the distinct (user, day)
+    pairs of the facts and the versions are merged in order of time, and the last version is
+    carried along, so a user costs as many rows as they have days and versions, however many
+    facts or versions they have. The facts then look their pair up.
     """
+    start = F.lit("0001-01-01").cast("date")
     first = F.min("effective_from").over(Window.partitionBy("user_key"))
-    versions = history.select(
+    named = {f"user_{a}": F.col(a) for a in attributes}
+    versions = history.where("user_key IS NOT NULL").select(
         "user_key",
-        F.when(F.col("effective_from") > first, F.col("effective_from")).alias("_from"),
-        F.col("effective_to").alias("_to"),
-        *[F.col(a).alias(f"user_{a}") for a in attributes],
+        F.when(F.col("effective_from") > first, F.col("effective_from")).otherwise(start).alias("_day"),
+        F.struct(F.col("effective_to").alias("_to"), *[c.alias(n) for n, c in named.items()]).alias("_version"),
     )
-    valid = (F.col("_from").isNull() | (F.col("date_key") >= F.col("_from"))) & (
-        F.col("_to").isNull() | (F.col("date_key") <= F.col("_to"))
+    asked = fact.where("user_key IS NOT NULL AND date_key IS NOT NULL")
+    asked = asked.select("user_key", F.col("date_key").alias("_day")).distinct()
+    both = versions.withColumn("_asked", F.lit(False)).unionByName(
+        asked.withColumn("_asked", F.lit(True)), allowMissingColumns=True
     )
-    return fact.join(versions, "user_key").where(valid).drop("_from", "_to")
+    # a version opened on a day comes before what is asked for that day
+    so_far = Window.partitionBy("user_key").orderBy("_day", "_asked").rowsBetween(Window.unboundedPreceding, 0)
+    carried = both.withColumn("_version", F.last("_version", ignorenulls=True).over(so_far))
+    pair = lambda user, date: F.concat_ws(" ", F.col(user), F.col(date).cast("string")).alias("_pair")
+    valid = F.col("_version").isNotNull() & F.coalesce(F.col("_day") <= F.col("_version._to"), F.lit(True))
+    found = carried.where(F.col("_asked") & valid).select(pair("user_key", "_day"), *[f"_version.{n}" for n in named])
+    return lookup(fact.withColumn("_pair", pair("user_key", "date_key")), found, "_pair", "inner", spread="event_id").drop("_pair")

@@ -422,6 +422,22 @@ def _bodies(as_of: str, start: str, day: str, load_date: str, raw_range: tuple[s
         "raw_events_text_times": in_range,
         "raw_events_number_times": in_range,
         "raw_events_mixed_times": in_range,
+        "raw_events_one_day": (
+            ["raw_events"],
+            f"SELECT * FROM raw_events WHERE CAST(event_timestamp AS DATE) = DATE '{raw_range[0]}'",
+        ),
+        # a run passes when there are rows enough: nothing else is wrong with these tables
+        "daily_run": (
+            ["fct_events", "raw_users", "second_load"],
+            f"""SELECT CAST(n AS BIGINT) AS events_processed, CASE WHEN passes THEN 'build_aggregates' ELSE 'quality_alert' END AS branch,
+                passes AS aggregates_built, CASE WHEN passes THEN of_platforms ELSE 0 END AS total_events, user_versions
+                FROM (SELECT count(*) FILTER (date_key = DATE '{raw_range[1]}') AS n,
+                        count(*) FILTER (date_key = DATE '{raw_range[1]}' AND platform_key IS NOT NULL) AS of_platforms,
+                        count(*) >= 1000 AND (SELECT count(*) FROM second_load) >= 100 AS passes,
+                        (SELECT count(*) FROM second_load) + (SELECT count(*) FROM raw_users o JOIN second_load s USING (user_id)
+                          WHERE o.user_segment <> s.user_segment AND o.signup_date < DATE '{raw_range[1]}') AS user_versions
+                      FROM fct_events)""",
+        ),
         "raw_days": (
             ["raw_events"],
             "SELECT DISTINCT CAST(event_timestamp AS DATE) AS dt FROM raw_events WHERE event_timestamp IS NOT NULL",
@@ -763,7 +779,7 @@ def _bodies(as_of: str, start: str, day: str, load_date: str, raw_range: tuple[s
 
 
 def oracle_queries(
-    as_of: str, start: str, day: str, load_date: str, raw_range: tuple[str, str]
+    as_of: str, start: str, day: str, load_date: str, raw_range: tuple[str, str], change_date: str
 ) -> dict[str, str]:
     """query -> SQL text, each with the CTEs it needs in front."""
     ctes = _ctes(as_of, day, raw_range[0])
@@ -784,7 +800,28 @@ def oracle_queries(
         # A body with CTEs of its own becomes a subquery.
         return text(names, f"SELECT * FROM ({body})" if body.startswith("WITH") else body)
 
-    return {
-        query: nested(names, body)
-        for query, (names, body) in _bodies(as_of, start, day, load_date, raw_range).items()
+    bodies = _bodies(as_of, start, day, load_date, raw_range)
+    bodies["segments_of_the_day"] = (
+        ["fct_events", "raw_users", "second_load"],
+        f"""SELECT date_key, CASE WHEN greatest(date_key, o.signup_date) >= DATE '{change_date}' THEN n.user_segment
+              ELSE o.user_segment END AS user_user_segment, count(*) AS events
+            FROM fct_events JOIN raw_users o ON user_key = left(md5(o.user_id), 12)
+            JOIN second_load n ON n.user_id = o.user_id GROUP BY ALL""",
+    )
+    # the order that each report's definition states, and the report's rows
+    orders = {
+        "power_users": ("user_tier", "list_position(['Top 1%', 'Top 5%', 'Top 10%', 'Top 20%', 'Top 50%', 'Bottom 50%'], user_tier)"),
+        "dau_trend_wow": ("date_key", "date_key"),
+        "funnel_stages": ("stage", "stage_order"),
+        "geo_growth": ("country", "total_events DESC, country"),
+        "demographics": ("age_group", "dau DESC, age_group, device_type"),
     }
+    bodies["ordered_reports"] = (
+        list(dict.fromkeys(n for report in orders for n in bodies[report][0])),
+        " UNION ALL ".join(
+            f"""SELECT '{report}' AS report, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS place,
+                CAST({key} AS VARCHAR) AS key FROM ({'' if bodies[report][1].lstrip().startswith(('SELECT', 'WITH')) else 'SELECT * '}{bodies[report][1]})"""
+            for report, (key, order) in orders.items()
+        ),
+    )
+    return {query: nested(names, body) for query, (names, body) in bodies.items()}

@@ -42,6 +42,13 @@ def raw_range(w: BoundWarehouse, start: DateLike, end: DateLike, times: str = "t
     return raw.extract_events(w.spark, folder, start, end)
 
 
+def raw_one_day(w: BoundWarehouse, date: DateLike) -> DataFrame:
+    """Raw events written by day and one day read back."""
+    folder = _folder(w)
+    raw.write_events(binding.raw_events(w.spark, w.sf_dir).where("event_timestamp IS NOT NULL"), folder)
+    return raw.extract_events_for_date(w.spark, folder, date)
+
+
 def raw_days(w: BoundWarehouse) -> DataFrame:
     """The days that raw events were written for."""
     folder = _folder(w)
@@ -123,6 +130,24 @@ class _CutOffWarehouse(Warehouse):
             raise CutOff
 
 
+def daily_run(w: BoundWarehouse, date: DateLike) -> DataFrame:
+    """What the gated run of one raw day does, with a users load, after all other days."""
+    folder = _folder(w)
+    raw.write_events(binding.delivered_events(w.spark, w.sf_dir), folder, by="delivered")
+    warehouse = _warehouse(w)
+    jobs.seed_dimensions(warehouse, "2024-01-01", "2024-12-31")
+    warehouse.replace("dim_users", w["dim_users"])
+    events = raw.extract_events(w.spark, folder, with_source=True)
+    jobs.load_facts(warehouse, events.where(F.col("source_date") != day(date)), warehouse.read("dim_users"), w.as_of)
+    users = binding.second_load(w.spark, w.sf_dir)
+    report = jobs.run_daily(warehouse, folder, date, w.as_of, users=users)
+    total = warehouse.read("agg_daily_metrics").where(F.col("date_key") == day(date)).agg({"total_events": "sum"})
+    row = (report["events_processed"], report["branch"], report["aggregates_built"], total.first()[0] or 0, warehouse.read("dim_users").count())
+    return w.spark.createDataFrame(
+        [row], "events_processed long, branch string, aggregates_built boolean, total_events long, user_versions long"
+    )
+
+
 def interrupted_load(w: BoundWarehouse, date: DateLike) -> DataFrame:
     """Facts after a day was delivered again without its odd events, and its load was cut off
     twice: when all was prepared, and between the tables of the commit."""
