@@ -183,31 +183,31 @@ def contamination(docs: DataFrame, benchmark: DataFrame, max_windows: int = MAX_
     """
     windows = written(benchmark_windows(benchmark))
     blocks = max(1, -(-windows.count() // max_windows))
-    # what several scans find is united by row
-    rows = docs.select("doc_id", "text") if blocks == 1 else keyed(docs, "doc_id", "text")
-    carried = "doc_id long" if blocks == 1 else "_row long, doc_id long"
-    parts = []
+    if blocks == 1:
+        # one pass over Python workers: a second one in the same task would be a second worker
+        held = docs.sparkSession.sparkContext.broadcast(windows.toArrow())
+        return in_arrow(docs.select("doc_id", "text"), lambda b: _report(_scan(b, held.value)), _REPORT)
+    rows, parts = keyed(docs, "doc_id", "text"), []  # what several scans find is united by row
     for k in range(blocks):
-        block = windows if blocks == 1 else windows.where(F.pmod("hash", F.lit(blocks)) == k)
+        block = windows.where(F.pmod("hash", F.lit(blocks)) == k)
         held = docs.sparkSession.sparkContext.broadcast(block.toArrow())
         parts.append(
             in_arrow(
                 rows,
                 lambda b, held=held: _scan(b, held.value),
-                f"{carried}, n_words long, hits array<long>, items array<long>",
+                "_row long, doc_id long, n_words long, hits array<long>, items array<long>",
             )
         )
     scanned = parts[0]
-    if blocks > 1:
-        for part in parts[1:]:
-            scanned = scanned.union(part)
-        scanned = scanned.groupBy("_row").agg(
-            F.first("doc_id").alias("doc_id"),
-            F.max("n_words").alias("n_words"),
-            F.flatten(F.collect_list("hits")).alias("hits"),
-            F.flatten(F.collect_list("items")).alias("items"),
-        )
-        scanned = scanned.drop("_row")
+    for part in parts[1:]:
+        scanned = scanned.union(part)
+    scanned = scanned.groupBy("_row").agg(
+        F.first("doc_id").alias("doc_id"),
+        F.max("n_words").alias("n_words"),
+        F.flatten(F.collect_list("hits")).alias("hits"),
+        F.flatten(F.collect_list("items")).alias("items"),
+    )
+    scanned = scanned.drop("_row")
     return in_arrow(scanned, _report, _REPORT)
 
 
