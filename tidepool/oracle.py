@@ -808,6 +808,13 @@ def oracle_queries(
             FROM fct_events JOIN raw_users o ON user_key = left(md5(o.user_id), 12)
             JOIN second_load n ON n.user_id = o.user_id GROUP BY ALL""",
     )
+    # the suite over facts of which one day's stand on another day as well
+    bodies["dq_checks_of_days"] = (
+        ["fct_events", "dim_users", "dim_platform", "dim_event_type", "dim_date", "agg_daily_metrics"],
+        f"""WITH checked AS (FROM fct_events UNION ALL
+              SELECT * REPLACE (DATE '{raw_range[1]}' AS date_key) FROM fct_events WHERE date_key = DATE '{raw_range[0]}')
+            {_suite().replace("FROM fct_events", "FROM checked")}""",
+    )
     # the order that each report's definition states, and the report's rows
     orders = {
         "power_users": ("user_tier", "list_position(['Top 1%', 'Top 5%', 'Top 10%', 'Top 20%', 'Top 50%', 'Bottom 50%'], user_tier)"),

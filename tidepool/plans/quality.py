@@ -175,7 +175,7 @@ def check_freshness(
     return _with_metrics(measured, verdict).withColumn("age_hours", rounded(hours, 1))
 
 
-def _orphans(fact: DataFrame, key: str, dim: DataFrame, dim_key: str) -> DataFrame:
+def orphans(fact: DataFrame, key: str, dim: DataFrame, dim_key: str) -> DataFrame:
     """Distinct fact keys and how many of them the dimension lacks, one row.
 
     Only distinct keys are shuffled and joined, so hot keys do not matter.
@@ -193,7 +193,7 @@ def check_referential_integrity(
 ) -> DataFrame:
     """Distinct non-null keys without a dimension row."""
     return _with_metrics(
-        _orphans(fact, key, dim, dim_key),
+        orphans(fact, key, dim, dim_key),
         _integrity(table, key, F.col("orphaned"), F.col("total_distinct")),
     )
 
@@ -228,22 +228,29 @@ def _known(dim: DataFrame, key: str) -> DataFrame:
     return dim.select(key).distinct().withColumn(f"_{key}", F.lit(True))
 
 
-def _measured_facts(
-    fact: DataFrame, platforms: DataFrame, event_types: DataFrame, required: list[str]
-) -> DataFrame:
-    """One row of counts over the facts, from one scan folded by platform and event type."""
-    small = ["platform_key", "event_type_key"]
-    folded = fact.groupBy(*small).agg(
+# Columns of the facts whose nulls are counted: those of the suite, and the ids.
+REQUIRED = ["user_key", "event_type_key", "date_key"]
+_COUNTED = [*REQUIRED, "event_id"]
+
+
+def folded_facts(fact: DataFrame, *by: str) -> DataFrame:
+    """Rows and nulls of the facts by platform and event type, and by ``by``."""
+    return fact.groupBy("platform_key", "event_type_key", *by).agg(
         F.count(F.lit(1)).alias("n"),
-        *[count_where(F.col(c).isNull()).alias(f"{c}_nulls") for c in required],
+        *[count_where(F.col(c).isNull()).alias(f"{c}_nulls") for c in _COUNTED],
     )
+
+
+def measured_folds(folded: DataFrame, platforms: DataFrame, event_types: DataFrame) -> DataFrame:
+    """One row of counts over facts that were folded by platform and event type."""
+    small = ["platform_key", "event_type_key"]
     folded = folded.join(_known(platforms, small[0]), small[0], "left").join(
         _known(event_types, small[1]), small[1], "left"
     )
     lacking = {k: F.when(F.col(f"_{k}").isNull(), F.col(k)) for k in small}
     return folded.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-        *[F.coalesce(F.sum(f"{c}_nulls"), F.lit(0)).alias(c) for c in required],
+        *[F.coalesce(F.sum(f"{c}_nulls"), F.lit(0)).alias(c) for c in _COUNTED],
         *[F.count_distinct(k).alias(f"{k}_total") for k in small],
         *[F.count_distinct(v).alias(f"{k}_orphaned") for k, v in lacking.items()],
     )
@@ -273,17 +280,24 @@ def _measured_keys(fact: DataFrame, users: DataFrame) -> DataFrame:
     )
 
 
-def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
-    """The warehouse suite: 17 checks over facts, dimensions and daily metrics."""
-    fact, daily = tables["fct_events"], tables["agg_daily_metrics"]
-    users = tables["dim_users"].where("is_current")
-    n = F.col("n")
-    required = ["user_key", "event_type_key", "date_key"]
-
-    facts = _measured_facts(fact, tables["dim_platform"], tables["dim_event_type"], required)
+def _measured_facts(tables: dict[str, DataFrame]) -> DataFrame:
+    fact = tables["fct_events"]
+    counts = measured_folds(folded_facts(fact), tables["dim_platform"], tables["dim_event_type"])
     # two single rows, folded to one
-    facts = facts.unionByName(_measured_keys(fact, users), allowMissingColumns=True)
-    facts = facts.agg(*[F.max(c).alias(c) for c in facts.columns])
+    both = counts.unionByName(
+        _measured_keys(fact, tables["dim_users"].where("is_current")), allowMissingColumns=True
+    )
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
+def run_checks(tables: dict[str, DataFrame], facts: DataFrame | None = None) -> DataFrame:
+    """The warehouse suite: 17 checks over facts, dimensions and daily metrics.
+
+    ``facts`` is the row of measurements of the facts, where it is known already.
+    """
+    daily, users = tables["agg_daily_metrics"], tables["dim_users"].where("is_current")
+    n = F.col("n")
+    facts = _measured_facts(tables) if facts is None else facts
     people = users.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_distinct("user_key").alias("keys"),
@@ -299,7 +313,7 @@ def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
             facts,
             _row_count("fct_events", n, 1000),
             _uniqueness("fct_events", "event_id", n, F.col("ids")),
-            *[_null_rate("fct_events", c, n, F.col(c), 0.01) for c in required],
+            *[_null_rate("fct_events", c, n, F.col(c), 0.01) for c in REQUIRED],
             *[
                 _integrity("fct_events", key, F.col(f"{key}_orphaned"), F.col(f"{key}_total"))
                 for key in ("user_key", "platform_key", "event_type_key")

@@ -11,7 +11,7 @@ from ..functions import DateLike, between_days, day
 from ..sources import binding, raw
 from ..sources.scratch import application_dir
 from ..sources.warehouse import Warehouse
-from . import etl, jobs, quality
+from . import check_states, etl, jobs, quality
 from .bound import BoundWarehouse
 
 
@@ -180,3 +180,17 @@ def gate(w: BoundWarehouse, tables: list[str]) -> DataFrame:
     """Where the quality gate sends a run over the bound tables."""
     branch = quality.quality_gate(quality.run_checks({name: w[name] for name in tables}))
     return w.spark.createDataFrame([(branch,)], "branch string")
+
+
+def checks_of_days(w: BoundWarehouse, tables: list[str], first: DateLike, last: DateLike) -> DataFrame:
+    """The suite from states merged over loads: without ``first``, with a wrong ``last``, then
+    with ``first``, whose facts ``last`` holds once more."""
+    warehouse, fact = _warehouse(w), w["fct_events"]
+    of_first, of_last = (between_days(fact, "date_key", d, d) for d in (first, last))
+    warehouse.load_facts(fact.where(F.col("date_key") != day(first)))
+    check_states.update(warehouse)
+    warehouse.load_facts(of_last.union(of_last).withColumn("user_key", F.lit("nobody")), last)
+    check_states.update(warehouse)
+    warehouse.load_facts(of_first, first)
+    warehouse.load_facts(of_last.union(of_first.withColumn("_partition_date", day(last))), last)
+    return check_states.run_checks(warehouse, {name: w[name] for name in tables})

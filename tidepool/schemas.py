@@ -65,12 +65,28 @@ TABLES = {
     """,
 }
 
+# What quality checks keep of the facts between runs (see plans.check_states).
+STATES = {
+    "state_counts": """
+        platform_key string, event_type_key string, n bigint, user_key_nulls bigint,
+        event_type_key_nulls bigint, date_key_nulls bigint, event_id_nulls bigint, date_key date
+    """,
+    "state_user_days": "user_key string, date_key date",
+    "state_ids": "id_hash bigint, date_key date",
+    "state_users": "user_key string, days bigint",
+    "state_repeats": "event_id string, date_key date, n bigint",
+    "state_files": "date_key date, stamp string",
+}
+
 # Tables stored in one folder per day, with the column that names the folder.
 PARTITION_COLUMN = {
     "fct_events": "_partition_date",
     "stg_events": "source_date",
     "stg_id_filters": "source_date",
     "user_activity": "date_key",
+    "state_counts": "date_key",
+    "state_user_days": "date_key",
+    "state_ids": "date_key",
 }
 
 

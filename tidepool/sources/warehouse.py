@@ -4,17 +4,20 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
+import hashlib
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import DateLike, between_days, day
-from ..schemas import PARTITION_COLUMN, TABLES, columns
+from ..schemas import PARTITION_COLUMN, STATES, TABLES, columns
+
+DECLARED = TABLES | STATES
 
 
 class Warehouse:
-    """Reads and writes the tables declared in ``schemas.TABLES``.
+    """Reads and writes the tables declared in ``schemas``.
 
     ``root`` must be a folder every executor can reach. Whole-table writes go to a
     sibling folder that then replaces the old one, so a table may be derived from itself
@@ -103,7 +106,7 @@ class Warehouse:
     # -- reading -----------------------------------------------------------------
 
     def _stored(self, table: str, location: str) -> DataFrame:
-        fields = columns(TABLES[table])
+        fields = columns(DECLARED[table])
         stored = ", ".join(f"{n} {t}" for n, t in fields if (table, n) != ("fct_events", "date_key"))
         df = self.spark.read.schema(stored).parquet(location)
         if table == "fct_events":
@@ -117,7 +120,7 @@ class Warehouse:
         date, and reading it as an alias lets every filter on it prune folders.
         """
         if not self.exists(table):
-            return self.spark.createDataFrame([], TABLES[table])
+            return self.spark.createDataFrame([], DECLARED[table])
         return self._stored(table, self.path(table))
 
     def prepared(self, table: str, part: str = "days") -> DataFrame:
@@ -139,7 +142,7 @@ class Warehouse:
 
     def _conform(self, df: DataFrame, table: str) -> DataFrame:
         """Declared columns, in order, with declared types."""
-        df = df.select([F.col(n).cast(t).alias(n) for n, t in columns(TABLES[table])])
+        df = df.select([F.col(n).cast(t).alias(n) for n, t in columns(DECLARED[table])])
         return df.drop("date_key") if table == "fct_events" else df
 
     def _writer(self, df: DataFrame, table: str, mode: str):
@@ -189,6 +192,14 @@ class Warehouse:
         names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
         return sorted(dt.date.fromisoformat(n.partition("=")[2]) for n in names if "=" in n)
 
+    def stamps(self, table: str) -> dict[dt.date, str]:
+        """A digest of the names of each day's files, which change with every write of the day."""
+        names: dict[dt.date, list[str]] = {}
+        for file in self.read(table).inputFiles():
+            folder, name = file.split("/")[-2:]
+            names.setdefault(dt.date.fromisoformat(folder.partition("=")[2]), []).append(name)
+        return {d: hashlib.sha256("\n".join(sorted(n)).encode()).hexdigest() for d, n in names.items()}
+
     def prepare(self, table: str, df: DataFrame) -> None:
         """Write a new version of a whole table beside it, for ``commit``."""
         self._finish_swap(table)
