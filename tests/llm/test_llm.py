@@ -317,6 +317,58 @@ def test_shapes_follow_numpy(spark, docs):
     assert np.allclose(factor @ factor.T, cov + robust_outliers.RIDGE * np.eye(5))
 
 
+def some_words(random, letters, n):
+    return " ".join("".join(random.choice(list("abcdefgh"), letters)) for _ in range(n))
+
+
+def test_small_groups_are_judged_by_their_language(spark):
+    """Three odd texts alone in their source, a small language, and rows that fail the base rule."""
+    random = np.random.default_rng(5)
+    rows = [(i, some_words(random, int(random.integers(4, 7)), 200), "en", "big") for i in range(300)]
+    rows += [(300 + i, some_words(random, 200, 100), "en", "tiny") for i in range(3)]
+    rows += [(310 + i, some_words(random, 5, 200), "en", "small") for i in range(3)]
+    rows += [(320, some_words(random, 200, 100), "xx", "big"), (321, some_words(random, 5, 200), "xx", None)]
+    # too few words to be usable, so they don't make the group large
+    rows += [(400 + i, "few words", "en", "tiny") for i in range(60)]
+    got = by_id(robust_outliers.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")))
+    assert {i for i, r in got.items() if not r["kept"]} == {300, 301, 302, 320, *range(400, 460)}
+    assert got[300]["distance"] > 1000 and all(got[i]["distance"] < 41 for i in (310, 311, 312, 321))
+
+
+def test_least_determinant_against_numpy(spark):
+    """No worse than the best of many random starts, and a fixed point of concentration."""
+    random = np.random.default_rng(11)
+    mixing = random.normal(size=(5, 5))
+    x = {}
+    for judge, far in (("a", 6.0), ("b", 0.0)):
+        good = random.normal(size=(360, 5)) @ mixing
+        x[judge] = np.vstack([good, random.normal(size=(90, 5)) * 0.3 + far])
+    rows = [(judge, *map(float, v)) for judge, vs in x.items() for v in vs]
+    schema = "judge string, " + ", ".join(f"{c} double" for c in robust_outliers.STATISTICS)
+    found = robust_outliers.least_determinants(robust_outliers.written(spark.createDataFrame(rows, schema))).collect()
+    assert sorted(r["judge"] for r in found) == ["a", "b"]
+
+    def step(v, centre, cov):
+        d = np.einsum("ij,jk,ik->i", v - centre, np.linalg.inv(cov), v - centre)
+        near = v[np.argsort(d, kind="stable")[: int(np.ceil(robust_outliers.SUPPORT * len(v)))]]
+        return near.mean(axis=0), np.cov(near.T, bias=True) + robust_outliers.RIDGE * np.eye(5)
+
+    for r in found:
+        v, best = x[r["judge"]], np.inf
+        for _ in range(40):
+            some = v[random.choice(len(v), 8, replace=False)]
+            shape = some.mean(axis=0), np.cov(some.T, bias=True) + robust_outliers.RIDGE * np.eye(5)
+            for _ in range(30):
+                shape = step(v, *shape)
+            best = min(best, np.linalg.slogdet(shape[1])[1])
+        centre = np.array([r[f"m{i}"] for i in range(5)])
+        factor = np.array([[r[f"l{i}{j}"] if j <= i else 0.0 for j in range(5)] for i in range(5)])
+        cov = factor @ factor.T
+        assert np.linalg.slogdet(cov)[1] <= best + 0.02
+        again = step(v, centre, cov)
+        assert np.allclose(again[0], centre, atol=0.05) and np.allclose(again[1], cov, atol=0.1, rtol=0.05)
+
+
 # -- 6 ------------------------------------------------------------------------------------
 
 
