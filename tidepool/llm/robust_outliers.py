@@ -226,6 +226,7 @@ def starting_shapes(rows: DataFrame) -> DataFrame:
     z / |z| (2) around the medians, and mean and covariance of the half with the least |z| (3).
     """
     middle = rows.groupBy("judge").agg(*[F.percentile_approx(x, 0.5, 10_000).alias(f"c{i}") for i, x in enumerate(STATISTICS)])
+    middle = written(middle)  # stored, so its size is known and rows needn't be shuffled to it
     away = rows.join(middle, "judge").groupBy("judge", *[f"c{i}" for i in range(_P)]).agg(
         *[F.percentile_approx(F.abs(F.col(x) - F.col(f"c{i}")), 0.5, 10_000).alias(f"s{i}") for i, x in enumerate(STATISTICS)]
     )
