@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 
@@ -225,3 +226,112 @@ def test_tables_in_sql(spark, warehouse):
     )
     assert found.first()["dau"] == 1
     assert "PartitionFilters: [isnotnull(_partition_date" in found._jdf.queryExecution().executedPlan().toString()
+
+
+# -- buckets -----------------------------------------------------------------------------
+
+
+def bucket_files(tmp_path, table="dim_users"):
+    """The data files of each bucket folder."""
+    folders = (tmp_path / table).glob("key_bucket=*")
+    return {f.name: {p.name for p in f.glob("*.parquet")} for f in folders}
+
+
+def many_users(spark, n, since="2024-01-01"):
+    return dim_users(spark, [(f"u{i}", since) for i in range(n)])
+
+
+def test_an_upsert_of_ten_keys_rewrites_ten_buckets_at_most(spark, warehouse, tmp_path):
+    warehouse.load_dimension(many_users(spark, 500), "dim_users")
+    before = bucket_files(tmp_path)
+    assert len(before) == 64
+    warehouse.upsert("dim_users", dim_users(spark, [(f"u{i}", "2024-03-01") for i in range(495, 505)]), "user_key")
+    after = bucket_files(tmp_path)
+    assert 1 <= sum(before.get(b) != files for b, files in after.items()) <= 10
+    found = {r["user_key"]: r["signup_date"] for r in warehouse.read("dim_users").collect()}
+    assert found == {f"u{i}": dt.date(2024, 3, 1) if i >= 495 else dt.date(2024, 1, 1) for i in range(505)}
+    assert warehouse.read("dim_users").count() == 505
+
+
+def test_upserts_by_any_key_agree(spark, tmp_path):
+    """By the bucket key, by more than it, by another column; repeated and null keys too."""
+    rows = [("a", "2024-03-01"), ("a", "2024-03-02"), ("z", "2024-03-01")]
+    results = []
+    for i, names in enumerate(["user_key", ["user_key", "user_id"], "user_id"]):
+        w = Warehouse(spark, str(tmp_path / str(i)), buckets=4)
+        w.load_dimension(dim_users(spark, [("a", "2024-01-01"), ("b", "2024-01-01"), ("a", "2024-01-02")]), "dim_users")
+        w.append("dim_users", many_users(spark, 1).selectExpr("NULL AS user_key", "NULL AS user_id", *many_users(spark, 1).columns[2:]))
+        w.upsert("dim_users", dim_users(spark, rows), names)
+        w.upsert("dim_users", dim_users(spark, []), names)
+        results.append(sorted(map(str, w.read("dim_users").collect())))
+    assert results[0] == results[1] == results[2] and len(results[0]) == 5
+
+
+def test_the_number_of_buckets_stays_until_a_whole_write(spark, tmp_path):
+    Warehouse(spark, str(tmp_path), buckets=4).load_dimension(many_users(spark, 40), "dim_users")
+    w = Warehouse(spark, str(tmp_path), buckets=16)
+    w.append("dim_users", dim_users(spark, [("x", "2024-01-01")]))
+    w.upsert("dim_users", dim_users(spark, [("x", "2024-02-01"), ("u1", "2024-02-01")]), "user_key")
+    assert {b.split("=")[1].split("_")[0] for b in bucket_files(tmp_path)} == {"4"}
+    assert w.read("dim_users").count() == 41
+    w.replace("dim_users", w.read("dim_users"))
+    assert {b.split("=")[1].split("_")[0] for b in bucket_files(tmp_path)} == {"16"}
+    assert w.read("dim_users").count() == 41
+
+
+def test_a_table_without_buckets_gets_them(spark, warehouse, tmp_path):
+    for change in (warehouse.append, lambda t, df: warehouse.upsert(t, df, "user_key")):
+        many_users(spark, 3).write.mode("overwrite").parquet(str(tmp_path / "dim_users"))
+        change("dim_users", dim_users(spark, [("x", "2024-01-01")]))
+        assert keys(warehouse.read("dim_users")) == ["u0", "u1", "u2", "x"]
+        assert bucket_files(tmp_path)
+
+
+def test_an_upsert_is_all_or_nothing(spark, warehouse, tmp_path, monkeypatch):
+    warehouse.load_dimension(many_users(spark, 50), "dim_users")
+    load = dim_users(spark, [(f"u{i}", "2024-03-01") for i in range(20)])
+    kept, commit = bucket_files(tmp_path), Warehouse.commit
+
+    def cut_off(*_):
+        raise RuntimeError("cut off")
+
+    monkeypatch.setattr(Warehouse, "commit", cut_off)
+    with pytest.raises(RuntimeError, match="cut off"):
+        warehouse.upsert("dim_users", load, "user_key")
+    assert bucket_files(tmp_path) == kept
+    assert warehouse.read("dim_users").where("signup_date = '2024-03-01'").count() == 0
+    # cut off after the commit: the next access completes it
+    def nothing_moved(self, *parts):
+        self._finish_commit = cut_off
+        commit(self, *parts)
+
+    monkeypatch.setattr(Warehouse, "commit", nothing_moved)
+    with pytest.raises(RuntimeError, match="cut off"):
+        warehouse.upsert("dim_users", load, "user_key")
+    monkeypatch.undo()
+    read = Warehouse(spark, str(tmp_path)).read("dim_users")
+    assert read.count() == 50 and read.where("signup_date = '2024-03-01'").count() == 20
+
+
+def test_a_change_may_empty_buckets_but_not_leave_them(spark, warehouse):
+    warehouse.load_dimension(many_users(spark, 50), "dim_users")
+    one = dim_users(spark, [("u7", "2024-01-01")])
+    warehouse.change("dim_users", one, lambda stored: stored.where("user_key <> 'u7'"))
+    assert "u7" not in keys(warehouse.read("dim_users")) and warehouse.read("dim_users").count() == 49
+    with pytest.raises(Exception, match="another bucket"):
+        warehouse.change("dim_users", one, lambda stored: stored.unionByName(many_users(spark, 50)))
+    assert warehouse.read("dim_users").count() == 49
+
+
+def test_a_change_scans_only_its_buckets(spark, warehouse):
+    warehouse.load_dimension(many_users(spark, 500), "dim_users")
+    seen = []
+
+    def spied(stored):
+        plan = stored._jdf.queryExecution().executedPlan().toString()
+        seen.append((re.search(r"PartitionFilters: \[[^\]]*key_bucket", plan), stored.count()))
+        return stored
+
+    warehouse.change("dim_users", dim_users(spark, [("u7", "2024-01-01")]), spied)
+    ((pruned, rows),) = seen
+    assert pruned and rows < 50

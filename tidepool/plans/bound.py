@@ -27,7 +27,7 @@ class BoundWarehouse:
         self.sf_dir = sf_dir
         self.as_of = as_of
         self.report_date = report_date
-        self.warehouse = Warehouse(spark, root)
+        self.warehouse = Warehouse(spark, root, buckets=8)
         self._lock = threading.RLock()
         self._builders = {
             "dim_users": self._users,

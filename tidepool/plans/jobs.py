@@ -269,9 +269,9 @@ def _refresh_days(warehouse: Warehouse, dates: list[dt.date]) -> None:
 
 
 def merge_users(warehouse: Warehouse, users: DataFrame, date: DateLike) -> None:
-    """Merge a users load into the history of the user dimension."""
+    """Merge a users load into the history of the user dimension, in the buckets of its users."""
     load = etl.build_user_dimension(users)
-    warehouse.replace("dim_users", scd2_merge(warehouse.read("dim_users"), load, date))
+    warehouse.change("dim_users", load, lambda history: scd2_merge(history, load, date))
 
 
 def run_incremental(

@@ -20,7 +20,7 @@ def _folder(w: BoundWarehouse) -> str:
 
 
 def _warehouse(w: BoundWarehouse) -> Warehouse:
-    return Warehouse(w.spark, _folder(w))
+    return Warehouse(w.spark, _folder(w), buckets=8)
 
 
 def raw_range(w: BoundWarehouse, start: DateLike, end: DateLike, times: str = "timestamp") -> DataFrame:

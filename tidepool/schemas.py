@@ -89,6 +89,10 @@ PARTITION_COLUMN = {
     "state_ids": "date_key",
 }
 
+# Tables stored in one folder per bucket of a key's hash, with that key: a change of some keys
+# rewrites their buckets only.
+BUCKET_KEY = {"dim_users": "user_key"}
+
 
 def columns(ddl: str) -> list[tuple[str, str]]:
     """(name, type) pairs of a DDL text."""

@@ -5,15 +5,21 @@ from __future__ import annotations
 import datetime as dt
 import functools
 import hashlib
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import DateLike, between_days, day
-from ..schemas import PARTITION_COLUMN, STATES, TABLES, columns
+from ..schemas import BUCKET_KEY, PARTITION_COLUMN, STATES, TABLES, columns
 
 DECLARED = TABLES | STATES
+# Names the folder of a bucketed table, as <number of buckets>_<bucket>.
+BUCKET = "key_bucket"
+
+
+def _bucket(key: str, buckets: int) -> Column:
+    return F.concat_ws("_", F.lit(str(buckets)), F.pmod(F.xxhash64(key), F.lit(buckets)).cast("string"))
 
 
 class Warehouse:
@@ -27,11 +33,15 @@ class Warehouse:
     is prepared lies beside the tables until a folder that names them all is renamed into
     place. Before that rename nothing has changed, whatever was prepared; after it the next
     access of any table moves what is left. One job at a time may write a warehouse.
+
+    ``buckets`` is how many folders a table with a bucket key gets when it is next written
+    whole, at best one per 100 MB or so; until then it keeps the number it was written with.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
 
     # -- locations ---------------------------------------------------------------
 
@@ -145,32 +155,85 @@ class Warehouse:
         df = df.select([F.col(n).cast(t).alias(n) for n, t in columns(DECLARED[table])])
         return df.drop("date_key") if table == "fct_events" else df
 
-    def _writer(self, df: DataFrame, table: str, mode: str):
-        """Rows of a day sit in few files, and a day with most of the rows in many."""
-        df = self._conform(df, table)
-        folder = PARTITION_COLUMN.get(table)
-        if folder is None:
-            return df.write.mode(mode)
+    def _folders(self, df: DataFrame, folder: str, mode: str):
+        """Rows of a folder sit in few files, and a folder with most of the rows has many."""
         order = [c for c in (folder, "user_key") if c in df.columns]
         df = df.hint("rebalance", folder).sortWithinPartitions(*order)
         return df.write.mode(mode).partitionBy(folder)
 
+    def _writer(self, df: DataFrame, table: str, mode: str, buckets: int | None = None):
+        df = self._conform(df, table)
+        if table in BUCKET_KEY:
+            df = df.withColumn(BUCKET, _bucket(BUCKET_KEY[table], buckets or self.buckets))
+            return self._folders(df, BUCKET, mode)
+        folder = PARTITION_COLUMN.get(table)
+        return df.write.mode(mode) if folder is None else self._folders(df, folder, mode)
+
     def replace(self, table: str, df: DataFrame) -> None:
         self._finish_swap(table)
         self._writer(df, table, "overwrite").parquet(f"{self.path(table)}__next")
         self._swap(table)
 
     def append(self, table: str, df: DataFrame) -> None:
+        buckets = self._bucket_count(table)
+        if table in BUCKET_KEY and self.exists(table) and not buckets:
+            stored = self.read(table)  # written without buckets
+            return self.replace(table, stored.unionByName(df.select(stored.columns)))
         self._finish_swap(table)
-        self._writer(df, table, "append").parquet(self.path(table))
+        self._writer(df, table, "append", buckets).parquet(self.path(table))
 
     def upsert(self, table: str, df: DataFrame, keys: str | list[str] | None) -> None:
-        """Rows whose key is incoming make way for the incoming rows."""
+        """Rows whose key is incoming make way for the incoming rows.
+
+        Of a table with buckets only those of incoming keys are read and written, when the
+        bucket key is among ``keys``.
+        """
         if not keys:
             raise ValueError("upsert needs key columns")
         keys = [keys] if isinstance(keys, str) else keys
-        kept = self.read(table).join(df.select(keys), keys, "left_anti")
-        self.replace(table, kept.unionByName(df.select(kept.columns)))
+
+        def updated(stored: DataFrame) -> DataFrame:
+            kept = stored.join(df.select(keys), keys, "left_anti")
+            return kept.unionByName(df.select(kept.columns))
+
+        if BUCKET_KEY.get(table) in keys:
+            self.change(table, df, updated)
+        else:
+            self.replace(table, updated(self.read(table)))
+
+    def _bucket_count(self, table: str) -> int | None:
+        """How many buckets the stored table was dealt to, by its folders' names."""
+        if table not in BUCKET_KEY or not self.exists(table):
+            return None
+        fs, path = self._path(self.path(table))
+        for status in fs.listStatus(path):
+            name, _, value = status.getPath().getName().partition("=")
+            if name == BUCKET:
+                return int(value.split("_")[0])
+        return None
+
+    def change(
+        self, table: str, df: DataFrame, changed: Callable[[DataFrame], DataFrame]
+    ) -> None:
+        """Replace the rows of the buckets that keys of ``df`` fall in by ``changed`` of them.
+
+        ``changed`` is given all stored rows of these buckets, those of other keys included, and
+        may not return keys of other buckets: the write fails then. The other buckets are
+        neither read nor written. All buckets change together, or none when it is cut off.
+        A table without buckets so far is written whole.
+        """
+        buckets = self._bucket_count(table)
+        if buckets is None:
+            return self.replace(table, changed(self.read(table)))
+        bucket = _bucket(BUCKET_KEY[table], buckets)
+        # at most as many names as there are buckets
+        touched = sorted(r[0] for r in df.select(bucket.alias(BUCKET)).distinct().collect())
+        fields = ", ".join(f"{n} {t}" for n, t in columns(DECLARED[table]))
+        stored = self.spark.read.schema(f"{fields}, {BUCKET} string").parquet(self.path(table))
+        stored = stored.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        rows = self._conform(changed(stored), table).withColumn(BUCKET, bucket)
+        self._prepare_folders(table, rows, BUCKET, touched, F.col(BUCKET).isin(touched))
+        self.commit(f"{table}.days")
 
     def load_dimension(
         self, df: DataFrame, table: str, mode: str = "replace", key_column: str | None = None
@@ -213,24 +276,22 @@ class Warehouse:
         """
         folder = PARTITION_COLUMN[table]
         dates = [dt.date.fromisoformat(str(d)) for d in dates]
-        rows = self._conform(df, table)
-        if dates:
-            known = F.col(folder).isin([day(d) for d in dates])
-            stray = F.raise_error(F.concat(F.lit("row of another day: "), F.coalesce(F.col(folder).cast("string"), F.lit("none"))))
-            rows = rows.withColumn(folder, F.when(known, F.col(folder)).otherwise(stray.cast("date")))
+        known = F.col(folder).isin([day(d) for d in dates]) if dates else F.lit(True)
+        self._prepare_folders(table, self._conform(df, table), folder, dates, known)
+
+    def _prepare_folders(
+        self, table: str, rows: DataFrame, folder: str, names: list, known: Column
+    ) -> None:
+        kind = rows.schema[folder].dataType
+        what = "bucket" if folder == BUCKET else "day"
+        stray = F.concat(F.lit(f"row of another {what}: "), F.coalesce(F.col(folder).cast("string"), F.lit("none")))
+        rows = rows.withColumn(folder, F.when(known, F.col(folder)).otherwise(F.raise_error(stray).cast(kind)))
         self._finish_swap(table)
         staged = f"{self.path(table)}__days"
-        order = [c for c in (folder, "user_key") if c in rows.columns]
-        (
-            rows.hint("rebalance", folder)
-            .sortWithinPartitions(*order)
-            .write.mode("overwrite")
-            .partitionBy(folder)
-            .parquet(staged)
-        )
+        self._folders(rows, folder, "overwrite").parquet(staged)
         fs, _ = self._path(staged)
-        for d in dates:
-            fs.mkdirs(self._path(f"{staged}/{folder}={d}")[1])
+        for name in names:
+            fs.mkdirs(self._path(f"{staged}/{folder}={name}")[1])
 
     def commit(self, *parts: str) -> None:
         """Make prepared parts, named table.days or table.whole, the tables' content, all or none."""
