@@ -127,6 +127,36 @@ def test_chains_and_one_large_group(spark):
     assert got == brute_groups(texts_of(rows))
 
 
+def test_pairs_are_listed_once(spark):
+    """Pairs that share many keys are listed at one; those without a common least key are not lost."""
+    shared = list(range(1000, 1060))
+    held = {1: shared, 2: shared + [7], 3: shared + [7, 9], 4: [*range(20, 120), 5000], 5: [*range(200, 300), 5000, 5001]}
+    held[6] = [5001]
+    bits = [0] * jaccard_join.SKETCH_WORDS
+    rows = [(k, i, i, 300, *bits) for i, keys in held.items() for k in keys]
+    columns = ", ".join(f"c{i} long" for i in range(len(bits)))
+    rows = spark.createDataFrame(rows, f"key long, doc_id long, label long, n long, {columns}")
+    got = [(r["a"], r["b"]) for r in jaccard_join._candidates(rows).collect()]
+    assert sorted(got) == [(2, 1), (3, 1), (3, 2), (5, 4), (6, 5)]
+
+
+def test_pairs_at_the_least_similarity(spark):
+    """Copies of long texts with ever more changes, about as many as make them dissimilar."""
+    random = np.random.default_rng(8)
+    new = lambda n: [f"w{x}" for x in random.integers(0, 10**9, n)]
+    texts = []
+    for size in (190, 230, 320, 450, 950):
+        base = new(size)
+        for changes in range(size // 60, size // 18):
+            copy = list(base)
+            for at in random.choice(size, changes, replace=False):
+                copy[at] = new(1)[0]
+            texts.append(copy)
+    rows = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {i: (r["n_shingles"], r["component_id"]) for i, r in by_id(jaccard_join.similar_groups(rows)).items()}
+    assert got == brute_groups(texts_of(rows))
+
+
 def test_keep_first(docs):
     groups = brute_groups(texts_of(docs))
     kept = jaccard_join.keep_first(docs)

@@ -41,7 +41,7 @@ WORDS = 5
 SHARE = 75
 SKETCH_WORDS = 8  # of 64 parity bits
 # Sets from this size up, whose difference 512 bits bound too weakly, have a wider sketch.
-WIDE_FROM, WIDE_WORDS = 400, 64
+WIDE_FROM, WIDE_WORDS = 200, 64
 FIRST_KEYS = 4
 # Rounds of merging at most, by first segments and by all, and the documents that each one
 # tries per round.
@@ -52,6 +52,8 @@ FREQUENT_IN_BATCH = 4
 FREQUENT_KEPT = 200_000
 # Pairs compared against one document by one task.
 PIVOT_ROWS = 512
+# Least keys of a document that tell at which of their keys two documents are listed.
+LEAST_KEYS = 16
 
 _SKETCH = [f"c{i}" for i in range(SKETCH_WORDS)]
 _SETS = pa.schema(
@@ -263,6 +265,29 @@ def _distinct_keys(rows: DataFrame) -> DataFrame:
     return written(joined(rows, kept, "key", "left_semi", kept.count()))
 
 
+def _with_least(rows: DataFrame) -> DataFrame:
+    """``rows`` (key, doc_id, label, n, parity bits) with the LEAST_KEYS least keys of their document."""
+    columns = ["doc_id", "label", "n", *_SKETCH]  # alike in all rows of a document
+    held = rows.groupBy(columns).agg(F.array_sort(F.collect_set("key")).alias("keys"))
+    least = F.slice("keys", 1, LEAST_KEYS).alias("least")
+    return written(held.select(*columns, least, F.explode("keys").alias("key")))
+
+
+def _candidates(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of documents of different labels that share a key and may be similar.
+
+    Similar documents share most of their keys. They are listed at the least key that both
+    have among their least ones, and at no key above it; only documents without such a key
+    are listed at each one that they share.
+    """
+    rows = _with_least(rows)
+    sides = [rows.select("key", F.struct("doc_id", "label", "n", "least", *_SKETCH).alias(side)) for side in ("m", "p")]
+    both = F.array_min(F.array_intersect("m.least", "p.least"))
+    listed = F.col("key") <= F.coalesce(both, F.col("key"))
+    met = sides[0].join(sides[1], "key").where((F.col("m.label") > F.col("p.label")) & _possible("m", "p") & listed)
+    return met.select(F.col("m.doc_id").alias("a"), F.col("p.doc_id").alias("b"))
+
+
 class _Groups:
     """Groups found so far, and rounds that merge more of them."""
 
@@ -364,10 +389,7 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     shared = written(spans.where("low < high").select("key"))
     rows = sets.select("doc_id", "n", *_SKETCH, F.explode("keys").alias("key"))
     rows = groups.mixed(groups.merge(joined(rows, shared, "key", "inner", shared.count()), ROUNDS))
-    rows = _distinct_keys(rows)
-    sides = [rows.select("key", F.struct("doc_id", "label", "n", *_SKETCH).alias(side)) for side in ("m", "p")]
-    candidates = sides[0].join(sides[1], "key").where((F.col("m.label") > F.col("p.label")) & _possible("m", "p"))
-    groups.add(written(candidates.select(F.col("m.doc_id").alias("a"), F.col("p.doc_id").alias("b")).distinct()))
+    groups.add(written(_candidates(_distinct_keys(rows)).distinct()))
 
     # the representative has the smallest id of its class
     out = joined(everyone, copies, "doc_id", "left", n_copies).withColumn("rep", F.coalesce("rep", "doc_id"))
